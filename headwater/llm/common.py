@@ -33,7 +33,7 @@ def buckets(df: DataFrame) -> int:
     spark = df.sparkSession
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(2 * least, min(60_000, size // BUCKET_BYTES)) | 1
+    return max(least, min(60_000, size // BUCKET_BYTES)) | 1
 
 
 def texts(docs: DataFrame) -> DataFrame:
