@@ -8,8 +8,10 @@ of the three pairs of sub-parts of each part gives a signature. Signatures that
 cover fewer than two features are left out by a document as long as fewer parts have one than the
 slack has to spare; equal signatures get the same verdict, so a similar pair always keeps one in common.
 
-Documents with equal sets form a class and take part once. A bucket of signatures
-links each class of a signature to the smallest; connected classes are candidate groups.
+Documents with equal sets form a class and take part once. A first pass counts for
+each class its signatures that another class has too. A similar pair has more of them
+than the slack, so classes with fewer are done, among them most that share only a passage with others. For the rest a
+bucket of signatures links each document of a signature to the smallest; connected ones are candidate groups.
 Their sets are compared exactly in the group: documents outside the largest
 component found so far are counted against the whole group through an inverted index, so a group
 of copies costs a pass for each straggler and no pair is written. Groups over
@@ -31,7 +33,9 @@ from headwater.llm.textarrays import U64, Words, chunks, mix, slices, window_has
 
 CHUNK = 2 << 20
 #: Shingles compared in one task.
-GROUP = 2_000_000
+GROUP = 4_000_000
+#: Rows of one number that may be broadcast, counted before; beyond, the join shuffles.
+BROADCAST_ROWS = 2_000_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -83,17 +87,17 @@ def _class_rows(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.Record
         yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(_classes(sets, counts), pa.int64())], names=["doc_id", "n_shingles", "class"])
 
 
-def signatures(sets: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of documents and their signatures, in order of documents."""
+def signatures(sets: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of documents and their signatures, in order of documents, and how many at least a document shares with each similar one."""
     docs = len(counts)
     upper = bands(int(counts.max()) if docs else 0)
     upper = np.append(upper, max(upper[-1] + 1, upper[-1] * 5 // 4))
     band = np.searchsorted(upper, counts)
     owner = np.repeat(np.arange(docs), counts)
-    found = []
+    found, need = [], np.full(docs, np.iinfo(np.int64).max)
     for step in (0, 1):
         instance = band + step
-        spare = (bound := upper[instance] * 2 // 9) // 20
+        spare = (bound := upper[instance] * 2 // 9) // 8
         m = np.where(counts > 0, bound // 2 + 1 + spare, 0)
         first = np.concatenate(([0], np.cumsum(3 * m)))
         h = mix(sets, 17)
@@ -110,14 +114,16 @@ def signatures(sets: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
         weak = np.stack([filled[:, a] + filled[:, b] < 2 for a, b in ((0, 1), (0, 2), (1, 2))])
         parts_weak = np.bincount(doc[weak.any(0)], minlength=docs)
         # m - bound // 2 parts agree; one of them must be left
-        drop = (parts_weak < m - bound // 2)[doc]
+        light = parts_weak < m - bound // 2
+        need = np.minimum(need, m - bound // 2 - np.where(light, parts_weak, 0))
+        drop = light[doc]
         for i, (a, b) in enumerate(((0, 1), (0, 2), (1, 2))):
             keep = ~(weak[i] & drop)
             h = mix((part[:, a] ^ (part[:, b] * U64(0x9E3779B97F4A7C15))) + label, 29 + i)
             found.append((doc[keep], h[keep]))
     doc, h = (np.concatenate(x) for x in zip(*found, strict=True))
     order = np.argsort(doc, kind="stable")
-    return doc[order], h[order]
+    return doc[order], h[order], need
 
 
 def _send(batches: Iterable[pa.RecordBatch], n: int, size: int) -> Iterator[tuple[int, bytes]]:
@@ -130,21 +136,56 @@ def _send(batches: Iterable[pa.RecordBatch], n: int, size: int) -> Iterator[tupl
         one = np.zeros(len(counts), bool)
         one[once] = True
         sets, classes, counts = sets[np.repeat(one, counts)], classes[one], counts[one]
-        doc, h = signatures(sets, counts)
-        yield from repeats.send_entries((h % U64(n)).astype(np.int64), n, classes[doc], [(h >> U64(32)).astype(np.uint32)], raw=(0,))
+        doc, h, need = signatures(sets, counts)
+        for b, at in packing.split((h % U64(n)).astype(np.int64), n):
+            first, ids, sizes = packing.by_doc(classes[doc[at]])
+            yield b, packing.pack(ids, sizes, need[doc[at][first]].astype(np.uint32), (h[at] >> U64(32)).astype(np.uint32), raw=(0, 3))
+
+
+def _groups(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Members of signatures, sorted by signature and without repeats, with first places and sizes of the groups."""
+    key = np.unique((h.astype(U64) << U64(32)) | at.astype(U64))
+    top, at = key >> U64(32), (key & U64(0xFFFFFFFF)).astype(np.int64)
+    first = np.flatnonzero(np.concatenate(([True], top[1:] != top[:-1])))
+    return at, first, np.diff(np.concatenate((first, [len(key)])))
+
+
+def _matched(group: pa.Table, n: int) -> pa.Table:
+    """How many signatures of each class another class of the bucket has too."""
+    ids, sizes, need, h = packing.concat(repeats.blobs_of(group))
+    classes, inverse = np.unique(ids, return_inverse=True)
+    least = np.zeros(len(classes), np.uint32)
+    least[inverse] = need
+    at, _, size = _groups(h, np.repeat(inverse, sizes))
+    shared = np.bincount(at[np.repeat(size > 1, size)], minlength=len(classes))
+    some = shared > 0
+    classes, least, shared = classes[some], least[some], shared[some].astype(np.uint32)
+    return repeats.as_table((b, packing.pack(classes[k], least[k], shared[k], raw=(0,))) for b, k in packing.split(common.doc_buckets(classes, n), n))
+
+
+def _active(group: pa.Table) -> pa.Table:
+    classes, need, shared = packing.concat(repeats.blobs_of(group))
+    ids, first, inverse = np.unique(classes, return_index=True, return_inverse=True)
+    return pa.table([pa.array(ids[np.bincount(inverse, shared) >= need[first]], pa.int64())], names=["class"])
+
+
+def _send_active(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[tuple[int, bytes]]:
+    """Signatures of documents whose sets are at hand."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 512):
+            part = batch.slice(i, 512)
+            sets = [np.frombuffer(x, "<u8") for x in part.column(1).to_pylist()]
+            doc, h, _ = signatures(np.concatenate(sets), np.array([len(x) for x in sets]))
+            yield from repeats.send_entries((h % U64(n)).astype(np.int64), n, part.column(0).to_numpy()[doc], [(h >> U64(32)).astype(np.uint32)], raw=(0,))
 
 
 def _star(group: pa.Table) -> pa.Table:
-    """Distinct edges from the least class of each signature to its others."""
+    """Distinct edges from the least document of each signature to its others."""
     found = repeats.entries(repeats.blobs_of(group))
     u = v = np.zeros(0, np.int64)
     if found:
-        classes, h = found
-        ids, at = np.unique(classes, return_inverse=True)
-        key = np.unique((h.astype(U64) << U64(32)) | at.astype(U64))
-        top, at = key >> U64(32), (key & U64(0xFFFFFFFF)).astype(np.int64)
-        first = np.flatnonzero(np.concatenate(([True], top[1:] != top[:-1])))
-        size = np.diff(np.concatenate((first, [len(key)])))
+        ids, at = np.unique(found[0], return_inverse=True)
+        at, first, size = _groups(found[1], at)
         lead = np.repeat(at[first], size)
         pair = np.unique((lead[lead != at].astype(U64) << U64(32)) | at[lead != at].astype(U64))
         u, v = ids[(pair & U64(0xFFFFFFFF)).astype(np.int64)], ids[(pair >> U64(32)).astype(np.int64)]
@@ -198,17 +239,11 @@ def _verify(group: pa.Table, percent: int) -> pa.Table:
 
 
 def _set_rows(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(0, batch.num_rows, 256):
-            part = batch.slice(i, 256)
-            at = 0
-            for ids, data, offsets in chunks([part.select(["doc_id", "text"])], CHUNK):
-                sets, counts = shingles(data, offsets, n)
-                ends = np.cumsum(counts)
-                own = part.slice(at, len(ids))
-                at += len(ids)
-                blobs = [sets[e - c : e].tobytes() for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
-                yield pa.record_batch([own.column("doc_id"), own.column("label"), own.column("parts"), pa.array(blobs, pa.binary())], names=["doc_id", "label", "parts", "shingles"])
+    for ids, data, offsets in chunks(batches, CHUNK):
+        sets, counts = shingles(data, offsets, n)
+        ends = np.cumsum(counts)
+        blobs = [sets[e - c : e].tobytes() for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
+        yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], names=["doc_id", "shingles"])
 
 
 def ngram_jaccard_join(docs: DataFrame, percent: int = 80, n: int = 5) -> DataFrame:
@@ -223,14 +258,18 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 80, n: int = 5) -> DataFr
     common.shared_folder(docs.sparkSession)
     b = common.buckets(own)
     classes = own.mapInArrow(partial(_class_rows, n=n), "doc_id long, n_shingles long, class long").checkpoint()
+    firsts = classes.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     sent = own.mapInArrow(lambda batches: repeats.rows(_send(batches, b, n)), repeats.BLOBS)
-    candidates = common.components(sent.groupBy("bucket").applyInArrow(_star, "u long, v long"))
-    firsts = classes.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"))
-    members = firsts.join(candidates.withColumnRenamed("node", "class"), "class").select("doc_id", "label", "size")
-    totals = members.groupBy("label").agg(F.ceil(F.sum("size") / GROUP).cast("int").alias("parts"))
-    members = members.join(totals, "label").select("doc_id", "label", "parts").distinct()
-
-    sets = own.join(members, "doc_id").select("doc_id", "text", "label", "parts").mapInArrow(partial(_set_rows, n=n), "doc_id long, label long, parts int, shingles binary")
+    shared = sent.groupBy("bucket").applyInArrow(lambda group: _matched(group, b), repeats.BLOBS)
+    active = firsts.join(shared.groupBy("bucket").applyInArrow(_active, "class long"), "class").select("doc_id").distinct().checkpoint()
+    active = F.broadcast(active) if active.count() <= BROADCAST_ROWS else active
+    sets = own.join(active, "doc_id").select("doc_id", "text").mapInArrow(partial(_set_rows, n=n), "doc_id long, shingles binary").checkpoint()
+    again = sets.mapInArrow(lambda batches: repeats.rows(_send_active(batches, b)), repeats.BLOBS)
+    candidates = common.components(again.groupBy("bucket").applyInArrow(_star, "u long, v long"))
+    members = candidates.withColumnRenamed("node", "doc_id").join(classes.select("doc_id", "n_shingles").distinct(), "doc_id")
+    totals = members.groupBy("label").agg(F.ceil(F.sum("n_shingles") / GROUP).cast("int").alias("parts"))
+    members = members.join(totals, "label").select("doc_id", "label", "parts")
+    sets = sets.join(members, "doc_id")
     block = F.pmod(F.xxhash64("doc_id"), "parts")
     tasks = sets.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)))
     tasks = tasks.withColumn("task", F.xxhash64("label", F.least("block", "other"), F.greatest("block", "other")))

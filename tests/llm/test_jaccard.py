@@ -49,8 +49,8 @@ def test_similar_sets_share_a_signature():
             while 9 * (gone + new) > 2 * size - gone + new:
                 gone, new = max(0, gone - 1), max(0, new - 1)
             b = np.concatenate((a[gone:], rng.integers(0, 2**63, new, dtype=np.uint64)))
-            doc, h = signatures(np.concatenate((a, b)), np.array([len(a), len(b)]))
-            assert np.intersect1d(h[doc == 0], h[doc == 1]).size
+            doc, h, need = signatures(np.concatenate((a, b)), np.array([len(a), len(b)]))
+            assert np.intersect1d(h[doc == 0], h[doc == 1]).size >= max(1, need.max())
 
 
 def test_bands_cover_neighbours():
