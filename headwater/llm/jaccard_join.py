@@ -9,8 +9,8 @@ cover fewer than two features are left out by a document as long as fewer parts
 slack has to spare; equal signatures get the same verdict, so a similar pair always keeps one in common.
 
 Documents with equal sets form a class and take part once. A first pass counts for
-each class its signatures that another class has too. A similar pair has more of them
-than the slack, so classes with fewer are done, among them most that share only a passage with others. For the rest a
+each class its shingles that any other class has too: with fewer than 80 in 100 of them it has no similar class, so
+documents that only share passages are done. For the rest, a
 bucket of signatures links each document of a signature to the smallest; connected ones are candidate groups.
 Their sets are compared exactly in the group: documents outside the largest
 component found so far are counted against the whole group through an inverted index, so a group
@@ -126,7 +126,8 @@ def signatures(sets: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     return doc[order], h[order], need
 
 
-def _send(batches: Iterable[pa.RecordBatch], n: int, size: int) -> Iterator[tuple[int, bytes]]:
+def _send(batches: Iterable[pa.RecordBatch], n: int, size: int, percent: int) -> Iterator[tuple[int, bytes]]:
+    """The shingles of each class of a chunk, and how many of them it must share to have a similar class."""
     for _, data, offsets in chunks(batches, CHUNK):
         sets, counts = shingles(data, offsets, size)
         if not len(sets):
@@ -136,7 +137,8 @@ def _send(batches: Iterable[pa.RecordBatch], n: int, size: int) -> Iterator[tupl
         one = np.zeros(len(counts), bool)
         one[once] = True
         sets, classes, counts = sets[np.repeat(one, counts)], classes[one], counts[one]
-        doc, h, need = signatures(sets, counts)
+        doc, h = np.repeat(np.arange(len(counts)), counts), mix(sets, 31)
+        need = -(-counts * percent // 100)
         for b, at in packing.split((h % U64(n)).astype(np.int64), n):
             first, ids, sizes = packing.by_doc(classes[doc[at]])
             yield b, packing.pack(ids, sizes, need[doc[at][first]].astype(np.uint32), (h[at] >> U64(32)).astype(np.uint32), raw=(0, 3))
@@ -151,7 +153,7 @@ def _groups(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def _matched(group: pa.Table, n: int) -> pa.Table:
-    """How many signatures of each class another class of the bucket has too."""
+    """How many shingles of each class another class has too."""
     ids, sizes, need, h = packing.concat(repeats.blobs_of(group))
     classes, inverse = np.unique(ids, return_inverse=True)
     least = np.zeros(len(classes), np.uint32)
@@ -259,7 +261,7 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 80, n: int = 5) -> DataFr
     b = common.buckets(own)
     classes = own.mapInArrow(partial(_class_rows, n=n), "doc_id long, n_shingles long, class long").checkpoint()
     firsts = classes.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    sent = own.mapInArrow(lambda batches: repeats.rows(_send(batches, b, n)), repeats.BLOBS)
+    sent = own.mapInArrow(lambda batches: repeats.rows(_send(batches, b, n, percent)), repeats.BLOBS)
     shared = sent.groupBy("bucket").applyInArrow(lambda group: _matched(group, b), repeats.BLOBS)
     active = firsts.join(shared.groupBy("bucket").applyInArrow(_active, "class long"), "class").select("doc_id").distinct().checkpoint()
     active = F.broadcast(active) if active.count() <= BROADCAST_ROWS else active
