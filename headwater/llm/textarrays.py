@@ -13,6 +13,9 @@ _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[9, 10, 11, 12, 13, 32]] = True
 _BYTES = np.frombuffer(b"".join(xxhash.xxh3_64_digest(bytes([i])) for i in range(256)), "<u8").astype(U64)
 _MULTIPLIERS = (U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F))
+#: Keep the lowest 0 to 8 bytes of a piece.
+_MASKS = np.array([(1 << 8 * i) - 1 for i in range(9)], U64)
+_LONG = 64
 _FINAL = U64(0xD6E8FEB86659FD93)
 
 
@@ -87,12 +90,20 @@ class Words:
         return coded.indices.to_numpy()[::2], coded.dictionary
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
-        """Two independent 64-bit hashes of each word."""
-        at, words = self.dictionary()
-        if not len(at):
-            return np.zeros(0, U64), np.zeros(0, U64)
-        both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words.to_pylist())), "<u8").reshape(-1, 2)
-        return both[at, 0], both[at, 1]
+        """Two independent 64-bit hashes of each word, over its pieces of 8 bytes; words of over ``_LONG`` bytes are hashed one by one."""
+        size = self.ends - self.starts
+        low, high = mix(size.astype(U64), 1), mix(size.astype(U64), 2)
+        pieces = np.ndarray(len(self.data) + 1, "<u8", np.concatenate((self.data, np.zeros(8, np.uint8))), strides=(1,))
+        at = np.flatnonzero(size <= _LONG)
+        for step in range(0, _LONG, 8):
+            at = at[size[at] > step]
+            if not len(at):
+                break
+            x = pieces[self.starts[at] + step] & _MASKS[np.minimum(size[at] - step, 8)]
+            low[at], high[at] = mix(low[at] ^ x, 3), mix(high[at] * _MULTIPLIERS[1] + x, 4)
+        for i in np.flatnonzero(size > _LONG).tolist():
+            low[i], high[i] = np.frombuffer(xxhash.xxh3_128_digest(self.data[self.starts[i] : self.ends[i]].tobytes()), "<u8")
+        return low, high
 
 
 def byte_values(data: np.ndarray, seed: int = 0) -> np.ndarray:
