@@ -4,7 +4,7 @@ Every document is cut into blocks of ``window // 2`` words that don't overlap; t
 index. All rolling windows of that many words probe it. A run of ``window`` words
 holds a whole block wherever it starts, so an earlier occurrence shows as a probe that
 hits a block. Hits are extended to all windows of ``window`` words around them, windows
-are compared by 128-bit hashes, and joined into maximal runs.
+are compared by 96-bit hashes, and joined into maximal runs.
 
 Null texts have no words. A row repeated as a whole counts once and its copies get
 the same result. Texts of fewer than ``window`` words keep everything.
