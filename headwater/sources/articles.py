@@ -22,11 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pos, url, title, domain, seen_ts and kst_date: a page's link, the first line of a document, and an event's time."""
+    """pos, url, title, domain, seen_ts and kst_date: a page's link, the whole first line of a document, and an event's time."""
     pages, docs, events = (table(spark, sf_dir, n) for n in ("pages", "documents", "events"))
     n = F.broadcast(events.agg(F.count("*").alias("n")))
     keyed = pages.select(F.col("page_id").alias("pos"), "url").crossJoin(n).withColumn("event_id", F.col("pos") * 37 % F.col("n")).drop("n")
-    lines = docs.select(F.col("doc_id").alias("pos"), F.substring(F.split_part(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(1)), 1, 80).alias("title"), F.col("source").alias("domain"))
+    lines = docs.select(F.col("doc_id").alias("pos"), F.split_part(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(1)).alias("title"), F.col("source").alias("domain"))
     return keyed.join(lines, "pos").join(events.select("event_id", F.col("ts").alias("seen_ts")), "event_id").select("pos", "url", "title", "domain", "seen_ts", timewin.local_date(F.col("seen_ts")).alias("kst_date"))
 
 
