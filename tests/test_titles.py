@@ -38,9 +38,9 @@ def test_keywords_and_tokens_see_the_whole_line(spark, sf, titles):
     assert sum(r.chars for r in QUERIES["title_stats"](spark, sf).collect()) == sum(map(len, titles.values()))
 
 
-@pytest.mark.parametrize("name", sorted(n for n, q in catalog.SQL.items() if ", 1, 80)" in q))
+@pytest.mark.parametrize("name", sorted(n for n, q in catalog.SQL.items() if ", 1, 80)" in q and n != "title_overlap"))
 def test_same_as_sql_over_whole_lines(spark, sf, name):
-    """The registered SQL cuts titles to 80 characters; with the cut taken out of a copy, it gives the same rows."""
+    """The registered SQL cuts titles to 80 characters; with the cut taken out of a copy, it gives the same rows. test_page_titles.py has title_overlap, whose SQL has no entities."""
     con = duckdb.connect()
     for p in glob.glob(f"{sf}/*.parquet"):
         con.execute(f"CREATE VIEW {os.path.basename(p)[:-8]} AS SELECT * FROM '{p}'")
