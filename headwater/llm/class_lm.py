@@ -370,11 +370,18 @@ def _scored(group: pa.Table, shared) -> pa.Table:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score, the text's log10 probabilities."""
-    own, n = common.texts(docs), model.buckets
-    p = common.buckets(own)
+    n, p = model.buckets, common.buckets(common.texts(docs))
+    marked, keys = common.identified(common.texts(docs), "row_id")
+    own = marked.select(F.col("row_id").alias("doc_id"), "text")
     names = ("top_hash", "top_count", "cls", "transition", "class_tokens", "class_words", "end_count", "discount", "tokens", "types")
     shared = docs.sparkSession.sparkContext.broadcast({k: getattr(model, k) for k in names})
     sent = own.mapInArrow(lambda x: repeats.rows(_score(x, shared, n, p)), repeats.BLOBS)
     found = sent.groupBy("bucket").cogroup(model.counts.groupBy("bucket")).applyInArrow(lambda a, b: _looked_up(a, b, shared, n, p), repeats.BLOBS)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return found.groupBy("bucket").applyInArrow(lambda g: _scored(g, shared), schema).withColumn("doc_id", common.real_id())
+    out = found.groupBy("bucket").applyInArrow(lambda g: _scored(g, shared), schema)
+    if keys is not None:
+        out = out.withColumnRenamed("doc_id", "row_id").drop("held_out").join(keys, "row_id")
+        # the same as in held_out()
+        held = (F.col("doc_id") != common.NO_ID) & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2)
+        out = out.withColumn("held_out", held).select(*[c.split()[0] for c in schema.split(", ")])
+    return out.withColumn("doc_id", common.real_id())

@@ -41,6 +41,24 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def identified(docs: DataFrame, name: str) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with a long column that is the same for rows equal in doc_id and text, differs for all others and sorts by doc_id.
+
+    Where each doc_id has one text, null as one of them, it is the doc_id (NO_ID for null) and the second result is None. Else rows
+    are numbered in the order of doc_id and two 64-bit hashes of the text; the second result is the table (``name``, doc_id) of the numbers.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    marks = {"_row_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_row_a": F.xxhash64(text), "_row_b": F.xxhash64(F.lit(1), text)}
+    hashes = docs.select(*[c.alias(k) for k, c in marks.items()])
+    differ = (F.min("_row_a") != F.max("_row_a")) | (F.min("_row_b") != F.max("_row_b"))
+    if hashes.groupBy("_row_doc").agg(differ.alias("differ")).where("differ").isEmpty():
+        return docs.withColumn(name, marks["_row_doc"]), None
+    shared_folder(docs.sparkSession)
+    keys = hashes.distinct().orderBy(*marks).withColumn(name, F.monotonically_increasing_id()).checkpoint()
+    marked = docs.withColumns(marks).join(keys, list(marks)).select(*docs.columns, name)
+    return marked, keys.select(name, F.col("_row_doc").alias("doc_id"))
+
+
 def real_id(name: str = "doc_id") -> Column:
     return F.when(F.col(name) != NO_ID, F.col(name)).alias(name)
 

@@ -252,13 +252,23 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 80, n: int = 5) -> DataFr
     """doc_id, n_shingles and component_id, the least doc_id that links lead to.
 
     Null and empty texts, and those of white space only, have an empty set and no
-    link. Rows with a null doc_id are kept and compared like others. Only 80 percent or more is supported.
+    link. Rows with a null doc_id are kept and compared like others; rows that share a doc_id, or have none, are linked
+    by their texts alone. Only 80 percent or more is supported.
     """
+    own, keys = common.identified(common.texts(docs), "row_id")
+    found = linked_rows(own.select(F.col("row_id").alias("doc_id"), "text"), common.buckets(common.texts(docs)), percent, n)
+    if keys is not None:
+        least = keys.select(F.col("row_id").alias("component_id"), F.col("doc_id").alias("least_id"))
+        found = found.join(keys.withColumnRenamed("doc_id", "own_id"), F.col("doc_id") == F.col("row_id")).join(least, "component_id")
+        found = found.select(F.col("own_id").alias("doc_id"), "n_shingles", F.col("least_id").alias("component_id"))
+    return found.select(common.real_id(), "n_shingles", common.real_id("component_id"))
+
+
+def linked_rows(own: DataFrame, b: int, percent: int = 80, n: int = 5) -> DataFrame:
+    """The same for doc_id and text without nulls, where each doc_id has one text, over ``b`` buckets."""
     if percent < 80:
         raise ValueError("the size bands and the Hamming bound are made for a similarity of 0.8 or more")
-    own = common.texts(docs)
-    common.shared_folder(docs.sparkSession)
-    b = common.buckets(own)
+    common.shared_folder(own.sparkSession)
     classes = own.mapInArrow(partial(_class_rows, n=n), "doc_id long, n_shingles long, class long").checkpoint()
     firsts = classes.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     sent = own.mapInArrow(lambda batches: repeats.rows(_send(batches, b, n, percent)), repeats.BLOBS)
@@ -281,4 +291,4 @@ def ngram_jaccard_join(docs: DataFrame, percent: int = 80, n: int = 5) -> DataFr
     kept = firsts.select("class", F.col("doc_id").alias("first_id"))
     grouped = kept.join(groups, "first_id", "left").select("class", F.coalesce("label", "first_id").alias("component_id"))
     found = classes.withColumn("class", F.when(F.col("n_shingles") > 0, F.col("class"))).join(grouped, "class", "left")
-    return found.select(common.real_id(), "n_shingles", F.when(F.coalesce("component_id", "doc_id") != common.NO_ID, F.coalesce("component_id", "doc_id")).alias("component_id"))
+    return found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

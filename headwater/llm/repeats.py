@@ -18,6 +18,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from headwater.llm import common, packing
 from headwater.llm.textarrays import chunks, column_bytes, slices
@@ -93,7 +94,7 @@ class Places:
 
 
 def documents_of(group: pa.Table, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """The documents of a bucket in the order of their ids, in chunks. Equal rows count once."""
+    """The documents of a bucket in the order of their ids, in chunks. Rows of one id have one text and count once."""
     ids = group.column("doc_id").to_numpy()
     order = np.argsort(ids, kind="stable")
     group = group.select(["doc_id", "text"])
@@ -109,9 +110,13 @@ def documents_of(group: pa.Table, limit: int) -> Iterator[tuple[np.ndarray, np.n
         start = end
 
 
-def remove_repeats(docs: DataFrame, screen: Callable, repeated: Callable, extend: Callable, first_only: Callable, cut: Callable, schema: str) -> DataFrame:
-    """``docs``: doc_id and text. The callables are the three steps' Python parts, each given the number of buckets."""
-    n = common.buckets(docs)
+def marked(docs: DataFrame) -> DataFrame:
+    """The input of ``remove_repeats``: a doc_id of its own for each text of a doc_id, the text, and the doc_id to tell."""
+    return common.identified(common.texts(docs), "row_id")[0].select(F.col("row_id").alias("doc_id"), "text", F.col("doc_id").alias("own_id"))
+
+
+def remove_repeats(docs: DataFrame, n: int, screen: Callable, repeated: Callable, extend: Callable, first_only: Callable, cut: Callable, schema: str) -> DataFrame:
+    """``docs``: doc_id, text and own_id, a text for each doc_id. The callables are the three steps' Python parts, each given the number ``n`` of buckets."""
     dealt = docs.withColumn("bucket", common.doc_bucket(n))
     anchors = docs.mapInArrow(lambda batches: rows(screen(batches, n)), BLOBS)
     hits = anchors.groupBy("bucket").applyInArrow(lambda group: as_table(repeated(blobs_of(group), n)), BLOBS)

@@ -7,7 +7,7 @@ hits a block. Hits are extended to all windows of ``window`` words around them,
 are compared by 96-bit hashes, and joined into maximal runs.
 
 Null texts have no words. A row repeated as a whole counts once and its copies get
-the same result. Texts of fewer than ``window`` words keep everything.
+the same result; other rows with a doc_id in common, or with none, are documents of their own, in the order of a hash of the text. Texts of fewer than ``window`` words keep everything.
 """
 
 from __future__ import annotations
@@ -100,7 +100,7 @@ def _first_only(blobs: list[bytes], n: int) -> Iterator[tuple[int, bytes]]:
 
 def _cut(own: pa.Table, blobs: list[bytes], window: int) -> pa.Table:
     removed = removed_runs(blobs)
-    ids = own.column("doc_id").to_pylist()
+    ids, told = own.column("doc_id").to_pylist(), own.column("own_id").to_pylist()
     data, offsets = column_bytes(own.column("text"))
     raw = data.tobytes()
     out = []
@@ -110,7 +110,7 @@ def _cut(own: pa.Table, blobs: list[bytes], window: int) -> pa.Table:
         if (mine := removed.get(d)) is not None:
             flags = covered(np.array([d]), np.array([0, n]), {d: mine}, window)
             kept = [w for w, gone in zip(words, flags.tolist(), strict=True) if not gone]
-        out.append([d, n, n - len(kept), b" ".join(kept)])
+        out.append([told[i], n, n - len(kept), b" ".join(kept)])
     names = ["doc_id", "n_words", "n_removed", "kept"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     columns = list(zip(*out, strict=True)) or [()] * len(names)
@@ -121,7 +121,12 @@ def _cut(own: pa.Table, blobs: list[bytes], window: int) -> pa.Table:
 def substring_dedup(docs: DataFrame, window: int = 20) -> DataFrame:
     """One row a document: its words, how many go as a run of ``window`` words covers them
     that also starts earlier, and ``kept``, the others joined by spaces."""
-    found = repeats.remove_repeats(
-        common.texts(docs), partial(_screen, window=window), _probe, partial(_extend, window=window), _first_only, partial(_cut, window=window), SCHEMA
-    )
+    found = cut_repeats(repeats.marked(docs), common.buckets(common.texts(docs)), window)
     return found.withColumn("doc_id", common.real_id())
+
+
+def cut_repeats(own: DataFrame, n: int, window: int = 20) -> DataFrame:
+    """The same for the input of ``repeats.remove_repeats``; doc_id is its own_id."""
+    return repeats.remove_repeats(
+        own, n, partial(_screen, window=window), _probe, partial(_extend, window=window), _first_only, partial(_cut, window=window), SCHEMA
+    )

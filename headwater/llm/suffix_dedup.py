@@ -11,7 +11,7 @@ removed, the rest becomes a level, and levels of equal size merge, so a bucket h
 logarithmic number of them.
 
 Null texts count as empty. A row repeated as a whole counts once and its copies get the
-same result. Texts shorter than ``length`` keep everything.
+same result; other rows with a doc_id in common, or with none, are documents of their own, in the order of a hash of the text. Texts shorter than ``length`` keep everything.
 """
 
 from __future__ import annotations
@@ -208,7 +208,7 @@ def removed_runs(blobs: list[bytes]) -> dict[int, np.ndarray]:
 
 def _cut(own: pa.Table, blobs: list[bytes], length: int) -> pa.Table:
     removed = removed_runs(blobs)
-    ids = own.column("doc_id").to_pylist()
+    ids, told = own.column("doc_id").to_pylist(), own.column("own_id").to_pylist()
     data, offsets = column_bytes(own.column("text"))
     raw = data.tobytes()
     out = []
@@ -219,7 +219,7 @@ def _cut(own: pa.Table, blobs: list[bytes], length: int) -> pa.Table:
             flags = covered(np.array([d]), np.array([0, b - a]), {d: mine}, length)
             gone, spans = int(flags.sum()), int((flags & ~np.concatenate(([False], flags[:-1]))).sum())
             kept = data[a:b][~flags].tobytes()
-        out.append([d, b - a, gone, spans, kept])
+        out.append([told[i], b - a, gone, spans, kept])
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     columns = list(zip(*out, strict=True)) or [()] * len(names)
@@ -233,6 +233,6 @@ def suffix_dedup(docs: DataFrame, length: int = 100) -> DataFrame:
     ``kept`` is binary, as a cut may fall inside a character.
     """
     found = repeats.remove_repeats(
-        common.texts(docs), partial(_screen, length=length), repeats.repeated_hashes, partial(_extend, length=length), partial(_decided, length=length), partial(_cut, length=length), SCHEMA
+        repeats.marked(docs), common.buckets(common.texts(docs)), partial(_screen, length=length), repeats.repeated_hashes, partial(_extend, length=length), partial(_decided, length=length), partial(_cut, length=length), SCHEMA
     )
     return found.withColumn("doc_id", common.real_id())
