@@ -11,30 +11,39 @@ from pyspark.sql import functions as F
 from headwater.llm import bpe, common, decontaminate, jaccard_join, quality_rules, substring_dedup
 
 
+#: The column that tells rows apart inside a stage.
+ROW = "_row"
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves out what the rules reject."""
     return quality_rules.keep(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, that of the smallest doc_id. Rows with a null doc_id are one document at most."""
-    found = jaccard_join.ngram_jaccard_join(docs, percent=80, n=5)
-    first = found.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("first_id")).distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["first_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """One document of each group stays, that of the smallest doc_id. Rows that share a doc_id, or have none, are of one group only by their texts."""
+    own, _ = common.identified(docs, ROW)
+    texts = own.select(F.col(ROW).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    found = jaccard_join.linked_rows(texts, common.buckets(common.texts(docs)), percent=80, n=5)
+    first = found.where("component_id = doc_id").select(F.col("doc_id").alias(ROW)).distinct()
+    return own.join(first, ROW, "left_semi").dropDuplicates([ROW]).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of repeated passages go; a document stays while it has words. Untouched texts stay as they are."""
-    found = substring_dedup.substring_dedup(docs, window=20).select(F.col("doc_id").alias("own_id"), "n_words", "n_removed", "kept")
-    joined = docs.join(found, docs["doc_id"].eqNullSafe(found["own_id"])).where("n_removed = 0 or n_removed < n_words")
+    own, _ = common.identified(docs, ROW)
+    texts = own.select(F.col(ROW).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col(ROW).alias("own_id"))
+    found = substring_dedup.cut_repeats(texts, common.buckets(common.texts(docs)), window=20).select(F.col("doc_id").alias("own_id"), "n_words", "n_removed", "kept")
+    joined = own.join(found, own[ROW] == found["own_id"]).where("n_removed = 0 or n_removed < n_words")
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    return joined.select(*[text.alias(c) if c == "text" else F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col(c).cast("long")).alias(c) if c == "n_chars" else docs[c] for c in docs.columns])
+    return joined.select(*[text.alias(c) if c == "text" else F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col(c).cast("long")).alias(c) if c == "n_chars" else own[c] for c in docs.columns])
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves out documents that hold a window of a benchmark item."""
-    hits = decontaminate.hits(docs, common.table(spark, sf_dir, "benchmark")).select(F.when(F.col("doc_id") != common.NO_ID, F.col("doc_id")).alias("hit_id")).distinct()
-    return docs.join(hits, docs["doc_id"].eqNullSafe(hits["hit_id"]), "left_anti")
+    own, _ = common.identified(docs, ROW)
+    hits = decontaminate.hits(own.select(F.col(ROW).alias("doc_id"), "text"), common.table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(ROW)).distinct()
+    return own.join(hits, ROW, "left_anti").select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

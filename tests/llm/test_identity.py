@@ -2,6 +2,7 @@
 
 import random
 
+import corpus_pipeline as pipeline
 from headwater.llm import class_lm, common
 from headwater.llm.jaccard_join import ngram_jaccard_join
 from headwater.llm.substring_dedup import substring_dedup
@@ -74,3 +75,17 @@ def linked():
 def test_rows_are_linked_by_their_texts_alone(spark):
     found = sorted((r.doc_id or 0, r.component_id or 0) for r in ngram_jaccard_join(spark.createDataFrame(linked(), SCHEMA)).collect())
     assert found == [(0, 0), (0, 0), (0, 0), (3, 0), (4, 0), (5, 5), (5, 5), (5, 5), (6, 5)]
+
+
+def test_stages_keep_rows_that_share_an_id(spark, tmp_path):
+    rows = linked()
+    df = spark.createDataFrame(rows, SCHEMA)
+    kept = pipeline.near_duplicates(spark, df, "")
+    assert kept.columns == df.columns
+    want = [rows[i] for i in (0, 1, 2, 5, 6)]
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, want))
+    clean = pipeline.repeated_passages(spark, spark.createDataFrame(want, SCHEMA), "")
+    assert sorted(map(str, map(tuple, clean.collect()))) == sorted(map(str, want))
+    spark.createDataFrame([(1, " ".join(rows[0][1].split()[20:40]))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    free = pipeline.benchmark_free(spark, spark.createDataFrame(want, SCHEMA), str(tmp_path))
+    assert sorted(map(str, map(tuple, free.collect()))) == sorted(map(str, want[1:]))
