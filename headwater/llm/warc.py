@@ -110,11 +110,12 @@ def write(pages: DataFrame, folder: str | None = None, least: int = 0) -> tuple[
     system, path = open_folder(folder)
     system.create_dir(path, recursive=True)
     own = pages.select(F.coalesce(F.col("page_id").cast("long"), F.lit(common.NO_ID)).alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html"), F.lit("")).alias("html"))
-    digests = own.select("page_id", F.sha1(F.col("html").cast("binary")).alias("digest"), F.octet_length("html").alias("size")).where(F.col("size") >= least)
+    own = own.withColumns({"digest": F.sha1(F.col("html").cast("binary")), "size": F.octet_length("html")})
+    digests = own.select("page_id", "digest", "size").where(F.col("size") >= least)
     firsts = digests.groupBy("digest", "size").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").select("digest", "size", "refers_to")
     # narrow rows only: the pages themselves are dealt by their own ids below
-    later = digests.join(firsts, ["digest", "size"]).where("page_id <> refers_to").groupBy("page_id").agg(F.min("refers_to").alias("refers_to"))
-    joined = own.join(later, "page_id", "left").select("page_id", "url", "html", "refers_to")
+    later = digests.join(firsts, ["digest", "size"]).where("page_id <> refers_to").select("page_id", "digest", "size", "refers_to").distinct()
+    joined = own.join(later, ["page_id", "digest", "size"], "left").select("page_id", "url", "html", "refers_to")
     return folder, joined.mapInArrow(lambda x: _write(x, folder), "path string, bytes long").checkpoint()
 
 
