@@ -33,10 +33,13 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Words of repeated passages go; a document stays while it has words. Untouched texts stay as they are."""
     own, _ = common.identified(docs, ROW)
     texts = own.select(F.col(ROW).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col(ROW).alias("own_id"))
-    found = substring_dedup.cut_repeats(texts, common.buckets(common.texts(docs)), window=20).select(F.col("doc_id").alias("own_id"), "n_words", "n_removed", "kept")
-    joined = own.join(found, own[ROW] == found["own_id"]).where("n_removed = 0 or n_removed < n_words")
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    return joined.select(*[text.alias(c) if c == "text" else F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col(c).cast("long")).alias(c) if c == "n_chars" else own[c] for c in docs.columns])
+    found = substring_dedup.cut_repeats(texts, common.buckets(common.texts(docs)), window=20)
+    # names of its own, as documents may have columns of any name
+    found = found.select(F.col("doc_id").alias("_cut_id"), F.col("n_words").alias("_n_words"), F.col("n_removed").alias("_n_removed"), F.col("kept").alias("_cut_text"))
+    joined = own.join(found, own[ROW] == found["_cut_id"]).where("_n_removed = 0 or _n_removed < _n_words")
+    some = F.col("_n_removed") > 0
+    text = F.when(some, F.col("_cut_text")).otherwise(F.col("text"))
+    return joined.select(*[text.alias(c) if c == "text" else F.when(some, F.length("_cut_text").cast("long")).otherwise(F.col(c).cast("long")).alias(c) if c == "n_chars" else own[c] for c in docs.columns])
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -89,3 +89,14 @@ def test_stages_keep_rows_that_share_an_id(spark, tmp_path):
     spark.createDataFrame([(1, " ".join(rows[0][1].split()[20:40]))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     free = pipeline.benchmark_free(spark, spark.createDataFrame(want, SCHEMA), str(tmp_path))
     assert sorted(map(str, map(tuple, free.collect()))) == sorted(map(str, want[1:]))
+
+
+def test_documents_may_have_columns_of_the_operators(spark):
+    rng = random.Random(2)
+    passage = prose(rng, 30)
+    rows = [(1, passage, 5, 6, "yes", 8, "o"), (2, passage + " tail", 5, 6, "no", 8, "o"), (3, passage, 5, 6, "no", 8, "o")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_words long, n_removed long, kept string, component_id long, own_id string")
+    cut = pipeline.repeated_passages(spark, docs, "")
+    assert cut.columns == docs.columns
+    assert sorted(map(tuple, cut.collect())) == [rows[0], (2, "tail", *rows[1][2:])]
+    assert sorted(map(tuple, pipeline.near_duplicates(spark, docs, "").collect())) == rows[:1]
