@@ -1,13 +1,14 @@
 """WARC archives: writing pages, and reading them back as a table of chunks.
 
 Writers put records into gzip members of archives of about ``ARCHIVE`` bytes in the shared
-folder, under a temporary name first, so a repeated task leaves the same files. Readers
+folder, each attempt under names of its own; the table of archives lists those of the attempt that counts, so a
+repeated or doubled task neither adds nor overwrites records. Readers
 stream an archive through a fixed buffer: a payload comes out as rows of a record identifier and a
 chunk number with at most ``CHUNK`` bytes, the digest is carried along, and no record is held whole.
 
 Null html counts as an empty payload, a null url as a URN of the page. Equal payloads of at least ``least`` bytes
 are one response, that of the smallest page_id, and revisits. A null page_id sorts before all others.
-Repeated rows of the first page are responses all.
+Where rows of the first page repeat, that of the least url is the response and the others revisit it.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headwater.llm import common
@@ -55,9 +56,8 @@ def headers(page: int, url: str | None, kind: str, digest: str, size: int, refer
 
 class _Archive:
     def __init__(self, system: fs.FileSystem, place: str):
-        self.system, self.place, self.size = system, place, 0
-        self.own = f"{place}.{uuid.uuid4().hex}.tmp"
-        self.out = system.open_output_stream(self.own)
+        self.place, self.size = place, 0
+        self.out = system.open_output_stream(place, compression=None)
 
     def write(self, head: bytes, payload: memoryview) -> None:
         member = zlib.compressobj(1, wbits=31)
@@ -70,21 +70,20 @@ class _Archive:
         self.out.write(data)
         self.size += len(data)
 
-    def close(self) -> None:
+    def close(self) -> tuple[str, int]:
         self.out.close()
-        self.system.move(self.own, self.place)
+        return self.place, self.size
 
 
 def _write(batches: Iterable[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
     system, path = open_folder(folder)
-    part, number, archive = TaskContext.get().partitionId(), 0, None
-    names, sizes = [], []
+    task, archive, done = TaskContext.get(), None, []
+    own = f"part-{task.partitionId():06d}-{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}"
     for batch in batches:
         page, url, html, refers = (batch.column(i) for i in range(4))
         for i in range(batch.num_rows):
             if archive is None:
-                archive = _Archive(system, posixpath.join(path, f"part-{part:06d}-{number:05d}.warc.gz"))
-                number += 1
+                archive = _Archive(system, posixpath.join(path, f"{own}-{len(done):05d}.warc.gz"))
             text = html[i].as_buffer()
             payload = memoryview(text if text is not None else b"")
             first = refers[i].as_py()
@@ -92,15 +91,11 @@ def _write(batches: Iterable[pa.RecordBatch], folder: str) -> Iterator[pa.Record
             digest = base32(hashlib.sha1(payload).digest())
             archive.write(headers(page[i].as_py(), url[i].as_py(), kind, digest, len(payload), first), payload if first is None else payload[:0])
             if archive.size >= ARCHIVE:
-                archive.close()
-                names.append(archive.place)
-                sizes.append(archive.size)
+                done.append(archive.close())
                 archive = None
     if archive is not None:
-        archive.close()
-        names.append(archive.place)
-        sizes.append(archive.size)
-    yield pa.record_batch([pa.array(names, pa.string()), pa.array(sizes, pa.int64())], names=["path", "bytes"])
+        done.append(archive.close())
+    yield pa.record_batch([pa.array([x for x, _ in done], pa.string()), pa.array([x for _, x in done], pa.int64())], names=["path", "bytes"])
 
 
 def write(pages: DataFrame, folder: str | None = None, least: int = 0) -> tuple[str, DataFrame]:
@@ -111,12 +106,16 @@ def write(pages: DataFrame, folder: str | None = None, least: int = 0) -> tuple[
     system.create_dir(path, recursive=True)
     own = pages.select(F.coalesce(F.col("page_id").cast("long"), F.lit(common.NO_ID)).alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html"), F.lit("")).alias("html"))
     own = own.withColumns({"digest": F.sha1(F.col("html").cast("binary")), "size": F.octet_length("html")})
-    digests = own.select("page_id", "digest", "size").where(F.col("size") >= least)
-    firsts = digests.groupBy("digest", "size").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").select("digest", "size", "refers_to")
-    # narrow rows only: the pages themselves are dealt by their own ids below
-    later = digests.join(firsts, ["digest", "size"]).where("page_id <> refers_to").select("page_id", "digest", "size", "refers_to").distinct()
-    joined = own.join(later, ["page_id", "digest", "size"], "left").select("page_id", "url", "html", "refers_to")
-    return folder, joined.mapInArrow(lambda x: _write(x, folder), "path string, bytes long").checkpoint()
+    key = ["page_id", "digest", "size"]
+    # narrow rows only, combined before they are dealt: a payload that many pages have is a row for each page
+    same = own.select(key).where(F.col("size") >= least).groupBy(key).agg(F.count("*").alias("rows"))
+    firsts = same.groupBy("digest", "size").agg(F.min("page_id").alias("refers_to"), F.sum("rows").alias("n")).where("n > 1").select("digest", "size", "refers_to")
+    later = same.join(firsts, ["digest", "size"]).where("page_id <> refers_to or rows > 1").select(*key, "refers_to", "rows").checkpoint()
+    joined = own.join(later, key, "left")
+    if not later.where("page_id = refers_to").isEmpty():
+        nth = F.row_number().over(Window.partitionBy(key).orderBy("url"))
+        joined = joined.withColumn("nth", nth).withColumn("refers_to", F.when((F.col("page_id") != F.col("refers_to")) | (F.col("nth") > 1), F.col("refers_to")))
+    return folder, joined.select("page_id", "url", "html", "refers_to").mapInArrow(lambda x: _write(x, folder), "path string, bytes long").checkpoint()
 
 
 class _Stream:
@@ -218,7 +217,8 @@ def _read(batches: Iterable[pa.RecordBatch], folder: str) -> Iterator[pa.RecordB
 def read(spark, folder: str, files: DataFrame) -> DataFrame:
     """The chunk table of archives: a row for each chunk, the digest with the last one of a record."""
     schema = "page_id long, chunk_no int, chunk binary, bytes_so_far long, is_last boolean, digest string, record_type string, refers_to long, payload_bytes long"
-    return files.select("path").repartition("path").mapInArrow(lambda x: _read(x, folder), schema)
+    # a task for each archive: a plain exchange of so few rows would be merged into one
+    return files.select("path").repartition(max(1, files.count())).mapInArrow(lambda x: _read(x, folder), schema)
 
 
 def round_trip(pages: DataFrame, least: int = 0, folder: str | None = None) -> DataFrame:
