@@ -30,16 +30,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words of repeated passages go; a document stays while it has words. Untouched texts stay as they are."""
-    own, _ = common.identified(docs, ROW)
-    texts = own.select(F.col(ROW).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col(ROW).alias("own_id"))
-    found = substring_dedup.cut_repeats(texts, common.buckets(common.texts(docs)), window=20)
-    # names of its own, as documents may have columns of any name
-    found = found.select(F.col("doc_id").alias("_cut_id"), F.col("n_words").alias("_n_words"), F.col("n_removed").alias("_n_removed"), F.col("kept").alias("_cut_text"))
-    joined = own.join(found, own[ROW] == found["_cut_id"]).where("_n_removed = 0 or _n_removed < _n_words")
-    some = F.col("_n_removed") > 0
-    text = F.when(some, F.col("_cut_text")).otherwise(F.col("text"))
-    return joined.select(*[text.alias(c) if c == "text" else F.when(some, F.length("_cut_text").cast("long")).otherwise(F.col(c).cast("long")).alias(c) if c == "n_chars" else own[c] for c in docs.columns])
+    """Words of repeated passages go; a document stays while it has words. Untouched texts, null ones among them, stay as they are."""
+    return substring_dedup.cut_documents(docs, window=20)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,12 +61,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages; each result is written to the shared folder and read again."""
+    """Applies the stages; each result is written to the shared folder and read again, and goes once the next one is written."""
     folder = posixpath.join(common.shared_folder(spark), f"pipeline-{uuid.uuid4().hex}")
     docs = common.table(spark, sf_dir, "documents")
+    last = None
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs.write.parquet(out := f"{folder}/{i}-{name}")
             docs = spark.read.parquet(out)
+            if last:
+                common.remove_folder(spark, last)
+            last = out
     return docs

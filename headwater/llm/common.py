@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 #: Stands for a null doc_id inside operators.
 NO_ID = -(2**63)
-#: Bytes of input that one bucket of a packed exchange is meant to hold.
-BUCKET_BYTES = 16 << 20
+#: Bytes of input that one bucket of a packed exchange is meant to hold, and what it may hold where there would be over ``MANY`` buckets.
+BUCKET_BYTES, LARGE_BUCKET, MANY = 16 << 20, 128 << 20, 60_000
+#: Sizes from which a planner's figure is a product or a default.
+GUESSED = 1 << 50
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,21 +21,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors see; one of our own only where the session has none, as in tests."""
+    """The folder that all executors see; one of our own only where a local session has none, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="headwater-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(found)
     return found
 
 
+def remove_folder(spark: SparkSession, uri: str) -> None:
+    """Deletes a folder of the shared file system, whichever it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def buckets(df: DataFrame) -> int:
-    """How many buckets a packed exchange over ``df`` gets: by the planner's size of the input, and not fewer than the session's shuffle partitions."""
+    """How many buckets a packed exchange over ``df`` gets: by the planner's size of the input, and not fewer than the session's shuffle partitions.
+
+    Beyond ``MANY`` the buckets grow to ``LARGE_BUCKET`` first, then their number goes on; there is no upper end.
+    An input that the planner can't judge, such as rows of the driver or a join, is measured.
+    """
     spark = df.sparkSession
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size >= GUESSED:
+        size = df.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 8)).first()[0] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, min(60_000, size // BUCKET_BYTES)) | 1
+    return max(least, min(size // BUCKET_BYTES, max(MANY, size // LARGE_BUCKET))) | 1
+
+
+def chunk_bytes(n: int, usual: int) -> int:
+    """Bytes of text that a map task packs at a time: more where there are many buckets, so that a blob still holds several entries."""
+    return max(usual, min(64 << 20, n << 10))
 
 
 def texts(docs: DataFrame) -> DataFrame:

@@ -128,7 +128,7 @@ def signatures(sets: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def _send(batches: Iterable[pa.RecordBatch], n: int, size: int, percent: int) -> Iterator[tuple[int, bytes]]:
     """The shingles of each class of a chunk, and how many of them it must share to have a similar class."""
-    for _, data, offsets in chunks(batches, CHUNK):
+    for _, data, offsets in chunks(batches, common.chunk_bytes(n, CHUNK)):
         sets, counts = shingles(data, offsets, size)
         if not len(sets):
             continue

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from headwater.llm import common, packing
 from headwater.llm.textarrays import chunks, column_bytes, slices
@@ -115,10 +116,13 @@ def marked(docs: DataFrame) -> DataFrame:
     return common.identified(common.texts(docs), "row_id")[0].select(F.col("row_id").alias("doc_id"), "text", F.col("doc_id").alias("own_id"))
 
 
-def remove_repeats(docs: DataFrame, n: int, screen: Callable, repeated: Callable, extend: Callable, first_only: Callable, cut: Callable, schema: str) -> DataFrame:
-    """``docs``: doc_id, text and own_id, a text for each doc_id. The callables are the three steps' Python parts, each given the number ``n`` of buckets."""
+def remove_repeats(docs: DataFrame, n: int, screen: Callable, repeated: Callable, extend: Callable, first_only: Callable, cut: Callable, schema: str | StructType) -> DataFrame:
+    """``docs``: doc_id, text, own_id and what else ``cut`` takes along; a text for each doc_id.
+
+    The callables are the three steps' Python parts, each given the number ``n`` of buckets.
+    """
     dealt = docs.withColumn("bucket", common.doc_bucket(n))
-    anchors = docs.mapInArrow(lambda batches: rows(screen(batches, n)), BLOBS)
+    anchors = docs.select("doc_id", "text").mapInArrow(lambda batches: rows(screen(batches, n)), BLOBS)
     hits = anchors.groupBy("bucket").applyInArrow(lambda group: as_table(repeated(blobs_of(group), n)), BLOBS)
     windows = dealt.groupBy("bucket").cogroup(hits.groupBy("bucket")).applyInArrow(lambda own, found: as_table(extend(own, Places(blobs_of(found)), n)), BLOBS)
     runs = windows.groupBy("bucket").applyInArrow(lambda group: as_table(first_only(blobs_of(group), n)), BLOBS)

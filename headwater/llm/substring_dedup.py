@@ -12,12 +12,14 @@ the same result; other rows with a doc_id in common, or with none, are documents
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StructField, StructType
 
 from headwater.llm import common, repeats
 from headwater.llm.suffix_dedup import covered, removed_runs
@@ -37,7 +39,7 @@ def _within(words: Words, size: int) -> np.ndarray:
 def _screen(batches: Iterable[pa.RecordBatch], n: int, window: int) -> Iterator[tuple[int, bytes]]:
     """Rolling windows of half the size; the lowest bit of the place tells a block of the index."""
     block = max(1, window // 2)
-    for ids, data, offsets in chunks(batches, CHUNK):
+    for ids, data, offsets in chunks(batches, common.chunk_bytes(n, CHUNK)):
         words = Words(data, offsets)
         at = _within(words, block)
         # only documents that have a whole window can lose words
@@ -98,35 +100,65 @@ def _first_only(blobs: list[bytes], n: int) -> Iterator[tuple[int, bytes]]:
         yield from repeats.send_entries(common.doc_buckets(docs, n), n, docs, [place, np.ones(len(place), np.uint32)])
 
 
-def _cut(own: pa.Table, blobs: list[bytes], window: int) -> pa.Table:
+def _kept(own: pa.Table, blobs: list[bytes], window: int) -> Iterator[tuple[int, int, bytes]]:
+    """For each row its words, how many go, and the others joined by spaces."""
     removed = removed_runs(blobs)
-    ids, told = own.column("doc_id").to_pylist(), own.column("own_id").to_pylist()
     data, offsets = column_bytes(own.column("text"))
     raw = data.tobytes()
-    out = []
-    for i, d in enumerate(ids):
+    for i, d in enumerate(own.column("doc_id").to_pylist()):
         words = raw[int(offsets[i]) : int(offsets[i + 1])].split()
         n, kept = len(words), words
         if (mine := removed.get(d)) is not None:
             flags = covered(np.array([d]), np.array([0, n]), {d: mine}, window)
             kept = [w for w, gone in zip(words, flags.tolist(), strict=True) if not gone]
-        out.append([told[i], n, n - len(kept), b" ".join(kept)])
-    names = ["doc_id", "n_words", "n_removed", "kept"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    columns = list(zip(*out, strict=True)) or [()] * len(names)
-    found = pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-    return found.set_column(3, "kept", found.column("kept").cast(pa.string()))
+        yield n, n - len(kept), b" ".join(kept)
+
+
+def _cut(own: pa.Table, blobs: list[bytes], window: int) -> pa.Table:
+    n, gone, kept = zip(*_kept(own, blobs, window), strict=True) if own.num_rows else ((), (), ())
+    columns = [own.column("own_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
+    return pa.table(columns, names=["doc_id", "n_words", "n_removed", "kept"])
+
+
+def _cut_rows(own: pa.Table, blobs: list[bytes], window: int, chars: str | None) -> pa.Table:
+    """The rows themselves, those that lose all their words left out. ``chars``: a column that tells the length of the text."""
+    stay, texts, sizes = [], own.column("text").to_pylist(), own.column(chars).to_pylist() if chars else []
+    for i, ((n, gone, kept), null) in enumerate(zip(_kept(own, blobs, window), own.column("no_text").to_pylist(), strict=True)):
+        stay.append(gone == 0 or gone < n)
+        if gone:
+            texts[i] = kept.decode()
+            if chars:
+                sizes[i] = len(texts[i])
+        elif null:
+            texts[i] = None
+    out = own.set_column(own.schema.get_field_index("text"), "text", pa.array(texts, own.schema.field("text").type))
+    if chars:
+        out = out.set_column(own.schema.get_field_index(chars), chars, pa.array(sizes, own.schema.field(chars).type))
+    return out.filter(pa.array(stay, pa.bool_())).drop_columns(["doc_id", "own_id", "no_text", "bucket"])
 
 
 def substring_dedup(docs: DataFrame, window: int = 20) -> DataFrame:
     """One row a document: its words, how many go as a run of ``window`` words covers them
     that also starts earlier, and ``kept``, the others joined by spaces."""
-    found = cut_repeats(repeats.marked(docs), common.buckets(common.texts(docs)), window)
+    found = _removed(repeats.marked(docs), common.buckets(common.texts(docs)), window, partial(_cut, window=window), SCHEMA)
     return found.withColumn("doc_id", common.real_id())
 
 
-def cut_repeats(own: DataFrame, n: int, window: int = 20) -> DataFrame:
-    """The same for the input of ``repeats.remove_repeats``; doc_id is its own_id."""
-    return repeats.remove_repeats(
-        own, n, partial(_screen, window=window), _probe, partial(_extend, window=window), _first_only, partial(_cut, window=window), SCHEMA
-    )
+def cut_documents(docs: DataFrame, window: int = 20) -> DataFrame:
+    """The rows of ``docs`` with the repeated words gone, and ``n_chars``, if there is one, counted anew.
+
+    Rows that lose all their words go, untouched ones stay as they are, null texts too. The other columns, of any
+    name and kind, travel with the texts through the one exchange, so nothing is joined back.
+    """
+    own, _ = common.identified(docs, "_row")
+    name = {c: "text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)}
+    rest = [F.col(c).alias(name[c]) for c in docs.columns if c != "text"]
+    sent = own.select(F.col("_row").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col("_row").alias("own_id"), F.col("text").isNull().alias("no_text"), *rest)
+    schema = StructType([StructField(name[f.name], f.dataType) for f in [docs.schema["text"], *(f for f in docs.schema if f.name != "text")]])
+    chars = name.get("n_chars") if "n_chars" in name and isinstance(docs.schema["n_chars"].dataType, IntegralType) else None
+    found = _removed(sent, common.buckets(common.texts(docs)), window, partial(_cut_rows, window=window, chars=chars), schema)
+    return found.select(*[F.col(name[c]).alias(c) for c in docs.columns])
+
+
+def _removed(own: DataFrame, n: int, window: int, cut: Callable, schema: str | StructType) -> DataFrame:
+    return repeats.remove_repeats(own, n, partial(_screen, window=window), _probe, partial(_extend, window=window), _first_only, cut, schema)

@@ -98,7 +98,7 @@ def _samples(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
 
 
 def _screen(batches: Iterable[pa.RecordBatch], n: int, length: int) -> Iterator[tuple[int, bytes]]:
-    for ids, data, offsets in chunks(batches, CHUNK):
+    for ids, data, offsets in chunks(batches, common.chunk_bytes(n, CHUNK)):
         _, anchors, doc, heads = _samples(data, offsets, length)
         if not len(anchors):
             continue
