@@ -1,13 +1,20 @@
 """Scoring by Brown's class-based bigram model.
 
-P(text) is the product over its tokens of P(class | class before) and P(word | class). The
-``TOP`` most frequent training words are types of their own; all others share the type
-of their ending. Exchange clustering assigns types to classes: it moves one type after another to the
-class that raises the likelihood of the training text's class bigrams most. Counts of all words come from all training
-documents and stay distributed; the driver holds the type bigrams, whose number the parameters bound.
+P(text) is the product over its tokens of P(class | class before) and P(word | class). Exchange
+clustering assigns every training word to a class by the likelihood of class bigrams, in two parts:
+
+1. On the driver, words take turns over sweeps: the ``top`` most frequent ones, and stand-ins for all
+   others, which are pooled by their ending. The bigrams of these types are bounded by the parameters.
+2. Distributed, each other word leaves its stand-in: from its own neighbours' classes, gathered over all
+   training documents, it moves to the class that raises the likelihood most. All words move at once,
+   against the class bigrams of part 1. The word's class and count stay distributed, dealt by the word's hash.
+
+Transitions are then counted anew over all training documents with the final classes of all words. Texts
+are scored by dealing the words outside the broadcast table to their hash buckets and their classes back to the texts.
 
 A known word has (count - d) / N(class), and d * V(class) / N(class) is left to the class's unknown
-words, with d from the numbers of words seen once and twice. Transitions are smoothed towards class frequencies.
+words, which have the class of their ending's stand-in, with d from the numbers of words seen once and twice.
+Transitions are smoothed towards class frequencies.
 
 Null texts are empty and have the end token alone. Rows repeated as a whole count as often as they occur
 and get equal results. Rows with a null doc_id are for training.
@@ -17,21 +24,26 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headwater.llm import common, packing, repeats
-from headwater.llm.textarrays import U64, Words, chunks, mix
+from headwater.llm.textarrays import U64, Words, chunks, column_bytes, mix, slices
 
 CHUNK = 4 << 20
 TOP, ENDINGS, CLASSES, SWEEPS = 2048, 512, 48, 5
 #: Counts that a task holds before it adds them up.
 HELD = 2_000_000
+#: Cells of contexts that are valued at a time.
+CELLS = 1 << 16
+#: Class of a token whose word is looked up elsewhere.
+OPEN = 255
 END = np.frombuffer(xxhash.xxh3_128_digest(b"\n"), "<u8")[0]
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -100,12 +112,13 @@ def _reduce(group: pa.Table, top: int) -> pa.Table:
 
 
 def _exploded(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    names = {"sums": ["n", "v", "once", "twice"], "top": ["hash", "ending", "n"]}[column]
+    """Rows of the arrays of blobs; the first column of sums is the place in the array."""
+    names = {"sums": ["ending", "n", "v", "once", "twice"], "class": ["class", "n", "v"], "top": ["hash", "ending", "n"]}[column]
     for batch in batches:
         for blob in batch.column(0).to_pylist():
             arrays = [x.astype(np.int64) if x.dtype != U64 else x.view(np.int64) for x in packing.unpack(blob)]
-            if column == "sums":
-                arrays, names = [np.arange(ENDINGS), *arrays], ["ending", "n", "v", "once", "twice"]
+            if column != "top":
+                arrays = [np.arange(len(arrays[0])), *arrays]
             yield pa.record_batch([pa.array(x, pa.int64()) for x in arrays], names=names)
 
 
@@ -126,7 +139,8 @@ def _sequence(t: Tokens, types: np.ndarray, end: int, docs: int) -> tuple[np.nda
     return before, own, doc
 
 
-def _bigrams(batches: Iterable[pa.RecordBatch], top, size: int, rows_each: int) -> Iterator[tuple[int, bytes]]:
+def _bigrams(batches: Iterable[pa.RecordBatch], top, size: int, rows_each: int, parts: int) -> Iterator[tuple[int, bytes]]:
+    """The type bigrams of a task, dealt by ``rows_each`` first types and one of ``parts`` groups of tasks."""
     top_hash = top.value
     total = np.zeros(size * size, np.int64)
     some = False
@@ -142,16 +156,18 @@ def _bigrams(batches: Iterable[pa.RecordBatch], top, size: int, rows_each: int)
         total[at] += n
     if some:
         at = np.flatnonzero(total)
+        mine = TaskContext.get().partitionId() % parts
         for b, own in packing.split(at // size // rows_each, size // rows_each + 1):
-            yield b, packing.pack(at[own].astype(np.uint32), total[at[own]].astype(np.uint64))
+            yield b * parts + mine, packing.pack(at[own].astype(np.uint32), total[at[own]].astype(np.uint64))
 
 
-def _add_bigrams(group: pa.Table) -> pa.Table:
+def _add_bigrams(group: pa.Table, parts: int) -> pa.Table:
+    """The sum of a group's blobs, for the bucket without its ``parts``."""
     at, n = packing.concat(repeats.blobs_of(group))
     order = np.argsort(at, kind="stable")
     at, n = at[order], n[order]
     first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-    return repeats.as_table([(group.column("bucket")[0].as_py(), packing.pack(at[first], np.add.reduceat(n, first)))])
+    return repeats.as_table([(group.column("bucket")[0].as_py() // parts, packing.pack(at[first], np.add.reduceat(n, first)))])
 
 
 def exchange(bigrams: np.ndarray, end: int, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
@@ -215,25 +231,135 @@ def exchange(bigrams: np.ndarray, end: int, classes: int = CLASSES, sweeps: int
     return cls
 
 
+def _contexts(batches: Iterable[pa.RecordBatch], shared, n: int) -> Iterator[tuple[int, bytes]]:
+    """For each word outside the broadcast table how often each class comes after and before it, dealt by its hash."""
+    m = shared.value
+    end, k = len(m["top_hash"]), m["classes"]
+    for ids, data, offsets in chunks(batches, common.chunk_bytes(n, CHUNK)):
+        train = ~held_out(ids)
+        if not train.any():
+            continue
+        t = Tokens(data, offsets)
+        types = _types(t, m["top_hash"])
+        _, own, _ = _sequence(t, types, end, len(ids))
+        cls = m["cls"][own]
+        at = np.flatnonzero((types[t.at] > end) & train[t.words.doc])
+        if not len(at):
+            continue
+        # an end token follows each text, so a text's first word has the end before it and the last one after it
+        place = at + t.words.doc[at]
+        word = t.at[at] * (2 * k)
+        key, times = np.unique(np.concatenate((word + cls[place + 1], word + k + np.where(place > 0, cls[place - 1], 0))), return_counts=True)
+        word, cell = key // (2 * k), (key % (2 * k)).astype(np.uint8)
+        for b, own in packing.split((t.hash[word] % U64(n)).astype(np.int64), n):
+            _, words, sizes = packing.by_doc(word[own])
+            yield b, packing.pack(_six(t.hash[words]), sizes, cell[own], times[own].astype(np.uint32), raw=(0,))
+
+
+def _six(h: np.ndarray) -> np.ndarray:
+    """The lower 48 bits of hashes, as bytes; the bucket tells the others apart."""
+    return np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, :6].reshape(-1)
+
+
+def _from_six(six: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(six) // 6, 8), np.uint8)
+    wide[:, :6] = six.reshape(-1, 6)
+    return wide.reshape(-1).view(U64)
+
+
+def _xlogx(x: np.ndarray) -> np.ndarray:
+    return np.where(x > 0, x * np.log(np.maximum(x, 1e-9)), 0.0)
+
+
+def best_classes(word: np.ndarray, cell: np.ndarray, times: np.ndarray, start: np.ndarray, total: np.ndarray, joint: np.ndarray) -> np.ndarray:
+    """The class of each word after one exchange step against the class bigrams ``joint``.
+
+    Cells are sorted by word: a class after (cell below the number of classes) or before the word, and how often. ``start`` and
+    ``total`` are the words' classes and counts. Only the word's own cells change, so nothing else is valued;
+    staying is valued as the loss by leaving. Class 0 is the end token's.
+    """
+    k = len(joint)
+    both = np.concatenate((joint.T, joint))
+    out, into = joint.sum(1), joint.sum(0)
+    small = np.arange(1, 16)
+    table = (_xlogx(both[None] + small[:, None, None]) - _xlogx(both)[None]).astype(np.float32)
+    best = start.copy()
+    first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1]))) if len(word) else np.zeros(0, np.int64)
+    i = 0
+    while i < len(first):
+        j = max(i + 1, int(np.searchsorted(first, first[i] + CELLS, "right")) - 1)
+        j = len(first) if len(word) - first[i] <= CELLS else j
+        a, b = first[i], first[j] if j < len(first) else len(word)
+        c, r, own = cell[a:b].astype(np.int64), times[a:b].astype(np.int64), word[first[i:j]]
+        gain = table[np.minimum(r, 15) - 1, c]
+        large = np.flatnonzero(r > 15)
+        gain[large] = _xlogx(both[c[large]] + r[large, None]) - _xlogx(both[c[large]])
+        gain = np.add.reduceat(gain, first[i:j] - a)
+        was, n = start[own], total[own].astype(float)
+        here = both[c, start[word[a:b]]]
+        stay = np.add.reduceat(_xlogx(here) - _xlogx(here - r), first[i:j] - a)
+        for margin in (out, into):
+            gain -= (_xlogx(margin[None] + n[:, None]) - _xlogx(margin)[None]).astype(np.float32)
+            stay -= _xlogx(margin[was]) - _xlogx(margin[was] - n)
+        gain[np.arange(len(own)), was] = stay
+        gain[:, 0] = -np.inf
+        best[own] = np.argmax(gain, 1)
+        i = j
+    return best
+
+
+def _assigned(own: pa.Table, found: pa.Table, shared) -> pa.Table:
+    """A bucket's words with counts and classes, and the sums by class."""
+    m = shared.value
+    bucket = (own if own.num_rows else found).column("bucket")[0].as_py()
+    h, e, c = packing.concat(found.column("counts").to_pylist())
+    end = len(m["top_hash"])
+    slot = np.minimum(np.searchsorted(m["top_hash"], h), max(0, end - 1))
+    frequent = m["top_hash"][slot] == h if end else np.zeros(len(h), bool)
+    cls = np.where(h == END, 0, np.where(frequent, m["cls"][slot], m["cls"][end + 1 + e])).astype(np.int64)
+    if own.num_rows:
+        six, sizes, cell, times = packing.concat(repeats.blobs_of(own))
+        low = h & U64(0xFFFFFFFFFFFF)
+        order = np.argsort(low)
+        word = order[np.searchsorted(low[order], _from_six(six))]
+        key = np.repeat(word, sizes) * 256 + cell
+        order = np.argsort(key, kind="stable")
+        key, times = key[order], times[order].astype(np.int64)
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        key, times = key[first], np.add.reduceat(times, first)
+        cls = best_classes(key >> 8, key & 255, times, cls, c.astype(np.int64), m["joint"])
+    sums = [np.bincount(cls, w, m["classes"]).astype(np.int64) for w in (c, None)]
+    row = [[bucket], [packing.pack(h, c, cls.astype(np.uint8), raw=(0,))], [packing.pack(*sums)]]
+    return pa.table([pa.array(x, t) for x, t in zip(row, (pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "words", "sums"])
+
+
 @dataclass
 class Model:
+    """What the driver knows: bounded by the parameters. ``words`` is the distributed rest."""
+
     top_hash: np.ndarray
     top_count: np.ndarray
+    #: of the types: frequent words, the end token, stand-ins of endings
     cls: np.ndarray
-    transition: np.ndarray
     class_tokens: np.ndarray
     class_words: np.ndarray
     end_count: int
     discount: float
     tokens: int
     types: int
-    #: bucket and counts of all words, distributed
-    counts: DataFrame
+    #: bucket and a blob of hashes, counts and classes, of all training words
+    words: DataFrame
     buckets: int
+    transition: np.ndarray | None = None
 
+    def shared(self) -> dict:
+        return {k: v for k, v in vars(self).items() if k != "words"}
 
-def fit(docs: DataFrame, top: int = TOP, classes: int = CLASSES, sweeps: int = SWEEPS) -> Model:
-    """Learns from the documents that aren't held out. Runs jobs over all of them."""
+
+def learn(docs: DataFrame, top: int = TOP, classes: int = CLASSES, sweeps: int = SWEEPS) -> Model:
+    """Counts and classes of the words of all documents that aren't held out, without transitions yet."""
+    if classes > 128:
+        raise ValueError("contexts are packed for 128 classes at most")
     spark = docs.sparkSession
     common.shared_folder(spark)
     own = common.texts(docs)
@@ -251,13 +377,13 @@ def fit(docs: DataFrame, top: int = TOP, classes: int = CLASSES, sweeps: int = S
     h = np.array([r.hash for r in first], np.int64).view(U64)
     order = np.argsort(h)
     top_hash, top_count = h[order], np.array([r.n for r in first], np.int64)[order]
-    for r in first:
-        sums[0, r.ending] -= r.n
-        sums[1, r.ending] -= 1
     size = len(top_hash) + 1 + ENDINGS
     table = spark.sparkContext.broadcast(top_hash)
-    rows_each = 64
-    pairs = own.mapInArrow(lambda x: repeats.rows(_bigrams(x, table, size, rows_each)), repeats.BLOBS).groupBy("bucket").applyInArrow(_add_bigrams, repeats.BLOBS)
+    rows_each, parts = 16, max(1, n // 64)
+    pairs = own.mapInArrow(lambda x: repeats.rows(_bigrams(x, table, size, rows_each, parts)), repeats.BLOBS)
+    if parts > 1:
+        pairs = pairs.groupBy("bucket").applyInArrow(lambda g: _add_bigrams(g, parts), repeats.BLOBS)
+    pairs = pairs.groupBy("bucket").applyInArrow(lambda g: _add_bigrams(g, 1), repeats.BLOBS)
     bigrams = np.zeros(size * size)
     for r in pairs.toLocalIterator():
         at, c = packing.unpack(r.blob)
@@ -266,122 +392,180 @@ def fit(docs: DataFrame, top: int = TOP, classes: int = CLASSES, sweeps: int = S
     cls = exchange(bigrams, len(top_hash), classes, sweeps)
     member = np.zeros((size, classes))
     member[np.arange(size), cls] = 1
-    joint = member.T @ bigrams @ member
-    share = (joint.sum(0) + 1) / (joint.sum() + classes)
-    transition = (joint + 20 * share) / (joint.sum(1, keepdims=True) + 20)
-    by_type = np.concatenate((top_count, [end_count], sums[0]))
-    words_of = np.concatenate((np.ones(len(top_count)), [1], sums[1]))
-    class_tokens = np.maximum(np.bincount(cls, by_type, classes), 1)
-    class_words = np.maximum(np.bincount(cls, words_of, classes), 1)
+    shared = spark.sparkContext.broadcast({"top_hash": top_hash, "cls": cls, "classes": classes, "joint": member.T @ bigrams @ member})
+    contexts = own.mapInArrow(lambda x: repeats.rows(_contexts(x, shared, n)), repeats.BLOBS)
+    words = contexts.groupBy("bucket").cogroup(found.select("bucket", "counts").groupBy("bucket")).applyInArrow(lambda a, b: _assigned(a, b, shared), "bucket int, words binary, sums binary").checkpoint()
+    of = np.zeros((2, classes))
+    rows = words.select("sums").mapInArrow(lambda x: _exploded(x, "class"), "class long, n long, v long")
+    for r in rows.groupBy("class").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
+        of[:, r["class"]] = r.n, r.v
     once, twice = sums[2].sum(), sums[3].sum()
     discount = float(np.clip(once / max(1.0, once + 2 * twice), 0.1, 0.95))
-    return Model(top_hash, top_count, cls, transition, class_tokens, class_words, int(end_count), discount, int(tokens), int(types), found.select("bucket", "counts"), n)
+    return Model(top_hash, top_count, cls, np.maximum(of[0], 1), np.maximum(of[1], 1), int(end_count), discount, int(tokens), int(types), words.select("bucket", "words"), n)
 
 
-def _score(batches: Iterable[pa.RecordBatch], shared, n: int, p: int) -> Iterator[tuple[int, bytes]]:
-    """What the broadcast tables tell about a document goes to its bucket; its other words go to theirs."""
+def _annotate(batches: Iterable[pa.RecordBatch], shared, n: int, p: int) -> Iterator[tuple[int, bytes]]:
+    """A text's classes and sums as far as the broadcast table tells go to its bucket; its other words go to theirs."""
     m = shared.value
     end = len(m["top_hash"])
-    trans = np.log10(m["transition"])
-    minus = -np.log10(m["class_tokens"])
-    for ids, data, offsets in chunks(batches, CHUNK):
+    counts = np.append(m["top_count"], m["end_count"]).astype(float)
+    # the ends' class has one word, to which no discount applies
+    lift = np.append(np.maximum(counts[:-1] - m["discount"], 1e-3), max(counts[-1], 0.5))
+    emission, plus = np.log10(lift / m["class_tokens"][m["cls"][: end + 1]]), np.log10(counts + 1)
+    for ids, data, offsets in chunks(batches, common.chunk_bytes(n, CHUNK)):
         t = Tokens(data, offsets)
         types = _types(t, m["top_hash"])
-        before, own, doc = _sequence(t, types, end, len(ids))
-        c, b = m["cls"][own], m["cls"][before]
-        counts = np.append(m["top_count"], m["end_count"])
-        # the ends' class has one word, to which no discount applies
-        frequent = own <= end
-        n_of = np.where(frequent, counts[np.minimum(own, end)], 1)
-        known = frequent & (n_of > 0)
-        lift = np.where(own == end, np.maximum(n_of, 0.5), np.where(frequent, np.maximum(n_of - m["discount"], 1e-3), 1.0))
-        score = trans[b, c] + minus[c] + np.log10(lift)
-        base = np.where(frequent, np.log10(n_of + 1.0), 0.0)
-        out = [np.bincount(doc, w, len(ids)) for w in (score, base)]
+        _, own, doc = _sequence(t, types, end, len(ids))
+        cls = m["cls"][own].astype(np.uint8)
+        rare = own > end
         tokens = t.words.counts + 1
-        seen = np.bincount(doc[known], minlength=len(ids))
-        yield from _to_docs(ids, p, n, [tokens.astype(np.uint64), seen.astype(np.uint64), *out], (4, 5))
-        rare = np.flatnonzero(types[t.at] > end)
-        if not len(rare):
+        seen, score, base = (np.bincount(doc[~rare], w[own[~rare]], len(ids)) for w in ((counts > 0).astype(float), emission, plus))
+        first = np.cumsum(tokens) - tokens
+        sequence = np.where(rare, np.uint8(OPEN), cls)
+        for b, at in packing.split(common.doc_buckets(ids, p), p):
+            yield n + b, packing.pack(ids[at], tokens[at].astype(np.uint32), seen[at].astype(np.uint32), score[at], base[at], sequence[slices(first[at], tokens[at])], raw=(3, 4))
+        at = np.flatnonzero(types[t.at] > end)
+        if not len(at):
             continue
-        key, times = np.unique(t.words.doc[rare].astype(np.int64) * len(t.hash) + t.at[rare], return_counts=True)
-        d, w = key // len(t.hash), key % len(t.hash)
-        h = t.hash[w]
-        six = np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, :6]
-        cw = m["cls"][types[w]].astype(np.uint8)
-        bucket = (h % U64(n)).astype(np.int64)
-        for k, at in packing.split(bucket, n):
-            _, docs, sizes = packing.by_doc(ids[d[at]])
-            yield k, packing.pack(docs, sizes, six[at].reshape(-1), times[at].astype(np.uint32), cw[at], raw=(2,))
-
-
-def _to_docs(ids: np.ndarray, p: int, tag: int, arrays: list[np.ndarray], raw: tuple[int, ...]) -> Iterator[tuple[int, bytes]]:
-    for b, at in packing.split(common.doc_buckets(ids, p), p):
-        yield b + tag, packing.pack(ids[at], np.ones(len(at), np.uint32), *(a[at] for a in arrays), raw=raw)
+        d, h = t.words.doc[at], t.hash[t.at[at]]
+        place = (at + d - first[d]).astype(np.uint32)
+        guess = cls[at + d]
+        for b, own in packing.split((h % U64(n)).astype(np.int64), n):
+            _, docs, sizes = packing.by_doc(ids[d[own]])
+            yield b, packing.pack(docs, sizes, _six(h[own]), place[own], guess[own], raw=(2,))
 
 
 def _looked_up(own: pa.Table, found: pa.Table, shared, n: int, p: int) -> pa.Table:
+    """Classes and sums of the words of a bucket, dealt to the texts."""
     bucket = (own if own.num_rows else found).column("bucket")[0].as_py()
     if bucket >= n:
         return repeats.as_table((bucket - n, b) for b in repeats.blobs_of(own))
     if not own.num_rows:
         return repeats.as_table(())
     m = shared.value
-    ids, sizes, six, times, cw = packing.concat(repeats.blobs_of(own))
-    docs = np.repeat(ids, sizes)
-    wide = np.zeros((len(docs), 8), np.uint8)
-    wide[:, :6] = six.reshape(-1, 6)
-    key = wide.reshape(-1).view(U64)
-    c = np.zeros(len(docs), np.int64)
+    ids, sizes, six, place, guess = packing.concat(repeats.blobs_of(own))
+    c, cls = np.zeros(len(guess)), guess.astype(np.int64)
     if found.num_rows:
-        h, _, counts = packing.concat(found.column("counts").to_pylist())
+        h, counts, classes = packing.concat(found.column("words").to_pylist())
         h = h & U64(0xFFFFFFFFFFFF)
         order = np.argsort(h)
-        h, counts = h[order], counts[order].astype(np.int64)
+        h = h[order]
+        key = _from_six(six)
         slot = np.minimum(np.searchsorted(h, key), len(h) - 1)
-        c = np.where(h[slot] == key, counts[slot], 0)
-    score = times * np.log10(np.where(c > 0, np.maximum(c - m["discount"], 1e-3), m["discount"] * m["class_words"][cw]))
-    base = times * np.log10(c + 1.0)
-    order = np.argsort(docs, kind="stable")
-    first, who, _ = packing.by_doc(docs[order])
-    add = lambda x: np.add.reduceat(x[order], first)
-    return repeats.as_table(_to_docs(who, p, 0, [add(np.where(c > 0, times, 0)).astype(np.uint64), add(score), add(base)], (3, 4)))
+        known = h[slot] == key
+        c = np.where(known, counts[order][slot], 0).astype(float)
+        cls = np.where(known, classes[order][slot], guess).astype(np.int64)
+    lift = np.where(c > 0, np.maximum(c - m["discount"], 1e-3), m["discount"] * m["class_words"][cls])
+    run = np.repeat(np.arange(len(ids)), sizes)
+    seen, score, base = (np.bincount(run, w, len(ids)) for w in (c > 0, np.log10(lift / m["class_tokens"][cls]), np.log10(c + 1)))
+    first = np.cumsum(sizes.astype(np.int64)) - sizes
 
+    def sent() -> Iterator[tuple[int, bytes]]:
+        for b, at in packing.split(common.doc_buckets(ids, p), p):
+            items = slices(first[at], sizes[at])
+            yield b, packing.pack(ids[at], sizes[at], seen[at].astype(np.uint32), score[at], base[at], place[items], cls[items].astype(np.uint8), raw=(3, 4))
 
-def _scored(group: pa.Table, shared) -> pa.Table:
-    m = shared.value
+    return repeats.as_table(sent())
+
+
+def _assembled(group: pa.Table) -> pa.Table:
+    """The texts of a bucket with the classes of all their tokens."""
     blobs = repeats.blobs_of(group)
-    ids, _, tokens, seen, score, base = packing.concat([b for b in blobs if b[0] == 6])
-    order = np.argsort(ids, kind="stable")
-    ids, tokens, seen, score, base = (x[order] for x in (ids, tokens.astype(np.int64), seen.astype(np.int64), score, base))
-    _, first, inverse, rows = np.unique(ids, return_index=True, return_inverse=True, return_counts=True)
-    seen, score, base = seen[first][inverse], score[first][inverse], base[first][inverse]
-    rare = [b for b in blobs if b[0] == 5]
-    if rare:
-        who, _, known, s, b = packing.concat(rare)
-        at = np.searchsorted(ids[first], who)
+    ids, tokens, seen, score, base, cls = packing.concat([b for b in blobs if b[0] == 6])
+    cls, tokens = cls.copy(), tokens.astype(np.int64)
+    start = np.cumsum(tokens) - tokens
+    own, first, inverse, rows = np.unique(ids, return_index=True, return_inverse=True, return_counts=True)
+    sums = [x[first].astype(float) for x in (seen, score, base)]
+    if rest := [b for b in blobs if b[0] == 7]:
+        who, sizes, *more, place, found = packing.concat(rest)
+        at = np.searchsorted(own, who)
+        cls[np.repeat(start[first][at], sizes) + place] = found
         # a row repeated as a whole has sent its words as often
-        share = lambda x: (np.bincount(at, x, len(first)) / rows)[inverse]
-        seen, score, base = seen + np.rint(share(known)).astype(np.int64), score + share(s), base + share(b)
-    base = base - tokens * np.log10(m["tokens"] + m["types"] + 1.0)
-    columns = [pa.array(ids), pa.array(held_out(ids)), pa.array(tokens), pa.array(seen), pa.array(np.full(len(ids), m["tokens"])), pa.array(base), pa.array(score)]
-    return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        sums = [x + np.bincount(at, w, len(own)) / rows for x, w in zip(sums, more, strict=True)]
+    seen, score, base = (x[inverse] for x in sums)
+    data = cls[slices(start[first][inverse], tokens)]
+    ends = np.concatenate(([0], np.cumsum(tokens))).astype(np.int32)
+    classes = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+    columns = [pa.array(ids), pa.array(tokens), pa.array(np.rint(seen).astype(np.int64)), pa.array(base), pa.array(score), classes]
+    return pa.table(columns, names=["row_id", "n_tokens", "n_known", "base", "emission", "classes"])
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score, the text's log10 probabilities."""
+def annotate(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, the sums ``base`` and ``emission`` and the classes of all tokens, a byte each. Computed now."""
     n, p = model.buckets, common.buckets(common.texts(docs))
     marked, keys = common.identified(common.texts(docs), "row_id")
-    own = marked.select(F.col("row_id").alias("doc_id"), "text")
-    names = ("top_hash", "top_count", "cls", "transition", "class_tokens", "class_words", "end_count", "discount", "tokens", "types")
-    shared = docs.sparkSession.sparkContext.broadcast({k: getattr(model, k) for k in names})
-    sent = own.mapInArrow(lambda x: repeats.rows(_score(x, shared, n, p)), repeats.BLOBS)
-    found = sent.groupBy("bucket").cogroup(model.counts.groupBy("bucket")).applyInArrow(lambda a, b: _looked_up(a, b, shared, n, p), repeats.BLOBS)
+    shared = docs.sparkSession.sparkContext.broadcast(model.shared())
+    sent = marked.select("row_id", "text").mapInArrow(lambda x: repeats.rows(_annotate(x, shared, n, p)), repeats.BLOBS)
+    found = sent.groupBy("bucket").cogroup(model.words.groupBy("bucket")).applyInArrow(lambda a, b: _looked_up(a, b, shared, n, p), repeats.BLOBS)
+    out = found.groupBy("bucket").applyInArrow(_assembled, "row_id long, n_tokens long, n_known long, base double, emission double, classes binary")
+    out = out.withColumnRenamed("row_id", "doc_id") if keys is None else out.join(keys, "row_id").drop("row_id")
+    # the same as in held_out()
+    held = (F.col("doc_id") != common.NO_ID) & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2)
+    return out.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "base", "emission", "classes").checkpoint()
+
+
+def _pairs(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Classes before and of all tokens of some texts, and the texts. The end token's class 0 comes before a text."""
+    data, offsets = column_bytes(column)
+    own = data.astype(np.int64)
+    before = np.concatenate(([0], own[:-1]))
+    before[offsets[:-1]] = 0
+    return before, own, np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+
+
+def _transitions(batches: Iterable[pa.RecordBatch], classes: int) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(classes * classes, np.int64)
+    for batch in batches:
+        before, own, _ = _pairs(batch.column(0))
+        total += np.bincount(before * classes + own, minlength=classes * classes)
+    at = np.flatnonzero(total)
+    yield pa.record_batch([pa.array(at), pa.array(total[at])], names=["cell", "n"])
+
+
+def with_transitions(model: Model, annotated: DataFrame) -> Model:
+    """The model with the transitions of the annotated texts that aren't held out."""
+    classes = len(model.class_tokens)
+    cells = annotated.where("not held_out").select("classes").mapInArrow(lambda x: _transitions(x, classes), "cell long, n long")
+    joint = np.zeros(classes * classes)
+    # classes * classes rows at most
+    for r in cells.groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        joint[r.cell] = r.n
+    joint = joint.reshape(classes, classes)
+    share = (joint.sum(0) + 1) / (joint.sum() + classes)
+    return replace(model, transition=(joint + 20 * share) / (joint.sum(1, keepdims=True) + 20))
+
+
+def _scored(batches: Iterable[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
+    tokens, types, transition = shared.value
+    logs = np.log10(transition)
+    for batch in batches:
+        doc, held, n_tokens, n_known, base, emission, classes = batch.columns
+        before, own, text = _pairs(classes)
+        score = emission.to_numpy() + np.bincount(text, logs[before, own], batch.num_rows)
+        base = base.to_numpy() - n_tokens.to_numpy() * np.log10(tokens + types + 1.0)
+        columns = [doc, held, n_tokens, n_known, pa.array(np.full(batch.num_rows, tokens)), pa.array(base), pa.array(score)]
+        yield pa.record_batch(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+
+def scored(annotated: DataFrame, model: Model) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score, the texts' log10 probabilities."""
+    shared = annotated.sparkSession.sparkContext.broadcast((model.tokens, model.types, model.transition))
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    out = found.groupBy("bucket").applyInArrow(lambda g: _scored(g, shared), schema)
-    if keys is not None:
-        out = out.withColumnRenamed("doc_id", "row_id").drop("held_out").join(keys, "row_id")
-        # the same as in held_out()
-        held = (F.col("doc_id") != common.NO_ID) & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2)
-        out = out.withColumn("held_out", held).select(*[c.split()[0] for c in schema.split(", ")])
-    return out.withColumn("doc_id", common.real_id())
+    return annotated.mapInArrow(lambda x: _scored(x, shared), schema).withColumn("doc_id", common.real_id())
+
+
+def fit(docs: DataFrame, top: int = TOP, classes: int = CLASSES, sweeps: int = SWEEPS) -> Model:
+    """Learns from the documents that aren't held out. Runs jobs over all of them."""
+    model = learn(docs, top, classes, sweeps)
+    return with_transitions(model, annotate(docs, model))
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    return scored(annotate(docs, model), model)
+
+
+def fit_score(docs: DataFrame, top: int = TOP, classes: int = CLASSES, sweeps: int = SWEEPS) -> DataFrame:
+    """``fit`` and ``score`` of the same documents, which are annotated once."""
+    model = learn(docs, top, classes, sweeps)
+    annotated = annotate(docs, model)
+    return scored(annotated, with_transitions(model, annotated))

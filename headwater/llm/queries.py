@@ -15,8 +15,7 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return class_lm.score(docs, class_lm.fit(docs))
+    return class_lm.fit_score(table(spark, sf_dir, "documents"))
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
