@@ -33,6 +33,26 @@ def test_token_counts_are_the_library(spark):
     assert found == {i: (len((t or "").encode()), len(own.encode(t or "", add_special_tokens=False).ids)) for i, t in enumerate(ODD)}
 
 
+def test_token_counts_of_a_model_file_and_of_repeated_rows(spark):
+    import sentencepiece
+
+    own = sentencepiece.SentencePieceProcessor(model_file=tokenizer_files.path("piece_bpe_32k.model"))
+    found = {r.doc_id: r.n_tokens for r in token_counts.token_counts(frame(spark), "piece_bpe_32k.model").collect()}
+    assert found == {i: len(own.encode(t or "")) for i, t in enumerate(ODD)}
+    rows = spark.createDataFrame([(None, "a b"), (None, "a b"), (None, "other"), (3, "a b")], "doc_id long, text string")
+    assert sorted((str(r.doc_id), r.n_bytes) for r in token_counts.token_counts(rows).collect()) == [("3", 3), ("None", 3), ("None", 3), ("None", 5)]
+    assert token_counts.token_counts(rows.limit(0)).collect() == []
+
+
+def test_the_table_holds_the_frequent_runs_of_the_corpus(spark, monkeypatch):
+    texts = ["the cat the dog"] * 30 + ["the odd one " + "x" * 90] * 9
+    assert token_counts.frequent(frame(spark, texts), 3) == [b"the", b"cat", b"dog"]
+    monkeypatch.setattr(token_counts, "TABLE_WORDS", 0)
+    plain = token_counts.token_counts(frame(spark)).collect()
+    monkeypatch.setattr(token_counts, "TABLE_WORDS", 50)
+    assert sorted(plain) == sorted(token_counts.token_counts(frame(spark)).collect())
+
+
 def test_warc_round_trip(spark, monkeypatch):
     html = ["<p>a</p>", None, "", "<p>a</p>", "x\r\n\r\ny" * 400_000, "é"]
     pages = spark.createDataFrame([(i, None if i == 2 else f"http://a/{i} z", h, "q") for i, h in enumerate(html)], "page_id long, url string, html string, digest string")
