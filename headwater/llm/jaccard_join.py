@@ -146,10 +146,13 @@ def _send(batches: Iterable[pa.RecordBatch], n: int, size: int, percent: int) ->
 
 def _groups(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Members of signatures, sorted by signature and without repeats, with first places and sizes of the groups."""
-    key = np.unique((h.astype(U64) << U64(32)) | at.astype(U64))
-    top, at = key >> U64(32), (key & U64(0xFFFFFFFF)).astype(np.int64)
-    first = np.flatnonzero(np.concatenate(([True], top[1:] != top[:-1])))
-    return at, first, np.diff(np.concatenate((first, [len(key)])))
+    key = h.astype(U64)
+    key <<= U64(32)
+    key |= at.astype(np.uint32)
+    key.sort()
+    key = key[np.concatenate(([True], key[1:] != key[:-1]))] if len(key) else key
+    first = np.flatnonzero(np.concatenate(([True], (key[1:] ^ key[:-1]) >= U64(1 << 32)))) if len(key) else np.zeros(0, np.int64)
+    return (key & U64(0xFFFFFFFF)).astype(np.int32), first, np.diff(np.append(first, len(key)))
 
 
 def _matched(group: pa.Table, n: int) -> pa.Table:
@@ -197,15 +200,17 @@ def _star(group: pa.Table) -> pa.Table:
 def linked(ids: np.ndarray, counts: np.ndarray, sets: np.ndarray, percent: int) -> np.ndarray:
     """For each document the place of the first one it is connected with, by links of this similarity."""
     m = len(ids)
-    _, sid = np.unique(sets, return_inverse=True)
-    df = np.bincount(sid)
-    owner = np.repeat(np.arange(m), counts)
-    shared = df[sid] > 1
-    sid, own = sid[shared], owner[shared]
-    order = np.argsort(sid, kind="stable")
-    listed = own[order]
-    start = np.searchsorted(sid[order], np.arange(len(df)))
-    first = np.searchsorted(own, np.arange(m + 1))
+    # 32-bit places, as a group is bounded; what isn't needed any more goes at once
+    order = np.argsort(sets).astype(np.int32)
+    new = np.ones(len(sets), bool)
+    new[1:] = sets[order[1:]] != sets[order[:-1]]
+    start = np.flatnonzero(new)
+    df = np.diff(np.append(start, len(sets)))
+    sid = np.empty(len(sets), np.int32)
+    sid[order] = np.cumsum(new, dtype=np.int32) - 1
+    listed = np.repeat(np.arange(m, dtype=np.int32), counts)[order]
+    del order, new
+    first = np.concatenate(([0], np.cumsum(counts)))
     comp, todo = np.arange(m), np.ones(m, bool)
     while True:
         waiting = np.bincount(comp[todo], minlength=m)
@@ -215,6 +220,7 @@ def linked(ids: np.ndarray, counts: np.ndarray, sets: np.ndarray, percent: int)
         p = int(np.flatnonzero(todo & (comp == some[np.argmin(waiting[some])]))[0])
         todo[p] = False
         mine = sid[first[p] : first[p + 1]]
+        mine = mine[df[mine] > 1]
         both = np.bincount(listed[slices(start[mine], df[mine])], minlength=m)
         near = (100 + percent) * both >= percent * (counts + counts[p])
         near[p] = True
@@ -227,7 +233,7 @@ def _verify(group: pa.Table, percent: int) -> pa.Table:
     task = group.column("task").to_numpy()
     ids = group.column("doc_id").to_numpy()
     order = np.lexsort((ids, task))
-    blobs = group.column("shingles").combine_chunks()
+    blobs = group.column("shingles")
     first, _, sizes = packing.by_doc(task[order])
     for f, s in zip(first.tolist(), sizes.tolist(), strict=True):
         own = order[f : f + s]
@@ -269,6 +275,8 @@ def linked_rows(own: DataFrame, b: int, percent: int = 80, n: int = 5) -> DataFr
     if percent < 80:
         raise ValueError("the size bands and the Hamming bound are made for a similarity of 0.8 or more")
     common.shared_folder(own.sparkSession)
+    # shingles take more memory than the texts they come from
+    b = 2 * b + 1
     classes = own.mapInArrow(partial(_class_rows, n=n), "doc_id long, n_shingles long, class long").checkpoint()
     firsts = classes.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     sent = own.mapInArrow(lambda batches: repeats.rows(_send(batches, b, n, percent)), repeats.BLOBS)
