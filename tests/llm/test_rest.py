@@ -124,6 +124,24 @@ def test_decontaminate(spark):
     assert decontaminate.decontaminate(frame(spark), bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_decontaminate_rows_by_their_texts(spark):
+    """Rows without a doc_id, with one in common, repeated, empty tables, a very long text, and joins without broadcasts."""
+    item = " ".join(f"b{i}" for i in range(14))
+    bench = spark.createDataFrame([(1, item), (2, "short one"), (3, None), (4, "...")], "item_id long, text string")
+    long_text = "x y " * 60_000 + item
+    rows = [(None, "A " + item.upper()), (None, "clean text"), (5, item[:40]), (5, "a SHORT, one"), (6, item), (6, item), (7, long_text), (8, ""), (9, None)]
+    docs = spark.createDataFrame([(*r, 1, "c") for r in rows], "doc_id long, text string, n_hit int, item_ids string")
+    want = sorted([("None", 15, 14, ["1"]), ("None", 2, 0, []), ("5", 13, 12, ["1"]), ("5", 3, 2, ["2"]), ("6", 14, 14, ["1"]), ("6", 14, 14, ["1"]), ("7", 120_014, 14, ["1"]), ("8", 0, 0, []), ("9", 0, 0, [])])
+    for limit in (decontaminate.BROADCAST_BYTES, 0):
+        before, decontaminate.BROADCAST_BYTES = decontaminate.BROADCAST_BYTES, limit
+        try:
+            found = sorted((str(r.doc_id), r.n_words, r.n_hit, r.item_ids) for r in decontaminate.decontaminate(docs, bench).collect())
+        finally:
+            decontaminate.BROADCAST_BYTES = before
+        assert found == want
+    assert decontaminate.decontaminate(docs.limit(0), bench).collect() == []
+
+
 def test_quality_counts(spark):
     rng = random.Random(6)
     texts = [*ODD, *[" ".join(rng.choice("abcdefgh#") for _ in range(rng.randrange(3, 90))).replace("c", "\n") for _ in range(60)]]
