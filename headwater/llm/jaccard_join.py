@@ -55,22 +55,24 @@ def shingles(data: np.ndarray, offsets: np.ndarray, n: int = 5) -> tuple[np.ndar
     if not len(words):
         return np.zeros(0, U64), np.zeros(docs, np.int64)
     low, high = words.hashes()
-    bits = U64(max(1, docs.bit_length()))
-    parts = []
+    owners, hashes = [], []
     if len(words) >= n:
         at = np.flatnonzero(words.doc[: len(words) - n + 1] == words.doc[n - 1 :])
-        h = window_hash(low, n)[at] ^ (window_hash(high, n, 1)[at] << U64(1))
-        parts.append((words.doc[at].astype(U64) << (U64(64) - bits)) | (mix(h) >> bits))
+        owners.append(words.doc[at])
+        hashes.append(mix(window_hash(low, n)[at] ^ (window_hash(high, n, 1)[at] << U64(1))))
     for size in range(1, n):
         own = np.flatnonzero(words.counts == size)
         if len(own):
-            h = window_hash(low, size)[words.first[own]] ^ (window_hash(high, size, 1)[words.first[own]] << U64(1))
-            parts.append((own.astype(U64) << (U64(64) - bits)) | (mix(h, size) >> bits))
-    key = np.sort(np.concatenate(parts))
-    key = key[np.concatenate(([True], key[1:] != key[:-1]))]
-    doc = (key >> (U64(64) - bits)).astype(np.int64)
-    # the bits that a chunk spends on documents differ, so all hashes keep the same 44
-    return mix((key << bits) >> U64(20)), np.bincount(doc, minlength=docs)
+            owners.append(own)
+            hashes.append(mix(window_hash(low, size)[words.first[own]] ^ (window_hash(high, size, 1)[words.first[own]] << U64(1)), size))
+    doc, h = np.concatenate(owners), np.concatenate(hashes)
+    # by hash, then by document; the second sort keeps the order and is linear for few documents
+    order = np.argsort(h)
+    order = order[np.argsort(doc[order].astype(np.uint16 if docs <= 65536 else np.int64), kind="stable")]
+    doc, h = doc[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    return h[new], np.bincount(doc[new], minlength=docs)
 
 
 def _classes(sets: np.ndarray, counts: np.ndarray) -> np.ndarray:
