@@ -1,11 +1,13 @@
 import base64
 import hashlib
+import math
 import random
 import re
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
 from headwater.llm import bpe, class_lm, decontaminate, quality_rules, sharding, token_counts, tokenizer_files, warc
@@ -79,6 +81,26 @@ def test_sharding(spark):
     assert 0.7 < weighted.count(0) / 2000 < 0.8
 
 
+def plain_shard(key, names, weights):
+    """Rendezvous hashing by the definition, over the public hash function."""
+    draws = []
+    for i, (name, w) in enumerate(zip(names, weights, strict=True)):
+        h = xxhash.xxh64_intdigest(name.encode(), xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), 42))
+        draws.append((-math.log(((h >> 11) + 0.5) / 2**53) / w, i))
+    return min(draws)[1]
+
+
+def test_sharding_against_the_definition(spark):
+    rows = [(i * 7 - 50, "a", "s", 1) for i in range(300)] + [(None, "x", "s", 1), (None, "y", "s", 1), (4, "b", "s", 1), (4, "b", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard string, slot int")
+    weights = [1.0, 2.0, 0.5]
+    for r in sharding.shard(docs, 3, weights).collect():
+        key = -(2**63) if r.doc_id is None else r.doc_id
+        assert r.shard == plain_shard(key, sharding.names(3), weights)
+        assert r.grown_shard == plain_shard(key, sharding.names(4), [*weights, 1.0])
+    assert sharding.shard(docs.limit(0), 3).collect() == []
+
+
 def lower(t):
     return bytes(c + 32 if 65 <= c <= 90 else c for c in (t or "").encode())
 
