@@ -39,6 +39,21 @@ def week_start(day: date) -> date:
     return day - timedelta(days=day.weekday())
 
 
+def shifted(day: date, days: int) -> date:
+    return day + timedelta(days=days)
+
+
+def days_between(first: date, last: date) -> list[date]:
+    """All days of a range, which may be given the wrong way round."""
+    first, last = min(first, last), max(first, last)
+    return [first + timedelta(days=i) for i in range((last - first).days + 1)]
+
+
+def local_today(now: datetime) -> date:
+    """The local day of a moment in UTC."""
+    return (now + timedelta(hours=OFFSET_HOURS)).date()
+
+
 def slices(spark: SparkSession, first: datetime, last: datetime, minutes: int = 15) -> DataFrame:
     """Stamps of the slices that begin in [first, last]."""
     step = timedelta(minutes=minutes)

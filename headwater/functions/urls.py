@@ -9,16 +9,20 @@ from headwater.functions.text import strip
 
 #: Parameters that only track or change the looks of a page.
 TRACKING = (
-    "utm_source utm_medium utm_campaign utm_term utm_content utm_id utm_name utm_reader fbclid gclid gclsrc dclid msclkid ttclid yclid igshid "
-    "mc_cid mc_eid spm ref referer referrer referral source src from cmpid cmp campaign cloc dablewidget outputtype amp"
-).split()
-TRACKING_PREFIXES = "utm_ _ga ga_ nil_ t__nil pk_ mtm_ piwik_".split()
-SECTION_PARAMETERS, SECTION_HOSTS = "sid sid1 sid2 mid".split(), "naver.com nate.com daum.net".split()
+    "utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "utm_id", "utm_name", "utm_reader",
+    "fbclid", "gclid", "gclsrc", "dclid", "msclkid", "ttclid", "yclid", "igshid",
+    "mc_cid", "mc_eid", "spm", "ref", "referer", "referrer", "referral", "source", "src", "from",
+    "cmpid", "cmp", "campaign", "cloc", "dablewidget", "outputtype", "amp",
+)
+TRACKING_PREFIXES = ("utm_", "_ga", "ga_", "nil_", "t__nil", "pk_", "mtm_", "piwik_")
+SECTION_PARAMETERS = ("sid", "sid1", "sid2", "mid")
+SECTION_HOSTS = ("naver.com", "nate.com", "daum.net")
 #: The shorter lists of the audit.
-AUDIT_TRACKING, AUDIT_PREFIXES = "fbclid gclid igshid spm ref refer cmpid ncid".split(), "utm_ _ga".split()
+AUDIT_TRACKING = ("fbclid", "gclid", "igshid", "spm", "ref", "refer", "cmpid", "ncid")
+AUDIT_PREFIXES = ("utm_", "_ga")
 
 
-def _starts(c: Column, prefixes: list[str]) -> Column:
+def _starts(c: Column, prefixes: tuple[str, ...]) -> Column:
     return c.rlike("^(" + "|".join(prefixes) + ")")
 
 
@@ -52,7 +56,7 @@ def collect_key(url: Column) -> Column:
     host = F.when(F.lower(scheme) == "http", F.regexp_replace(host, ":80$", "")).when(F.lower(scheme) == "https", F.regexp_replace(host, ":443$", "")).otherwise(host)
     host = F.regexp_replace(host, r"^(www\.|m\.|mobile\.)", "")
     portal = host.rlike(r"(^|\.)(" + "|".join(h.replace(".", r"\.") for h in SECTION_HOSTS) + ")$")
-    keep = lambda name: ~(name.isin(TRACKING) | _starts(name, TRACKING_PREFIXES) | (portal & name.isin(SECTION_PARAMETERS)))
+    keep = lambda name: ~(name.isin(*TRACKING) | _starts(name, TRACKING_PREFIXES) | (portal & name.isin(*SECTION_PARAMETERS)))
     return F.when(text == "", "").when(authority == "", F.regexp_replace(F.lower(text), "/+$", "")).otherwise(F.concat(host, _path(path), _query(query, keep, False)))
 
 
@@ -62,7 +66,7 @@ def audit_key(url: Column) -> Column:
     text = F.when(F.instr(F.substring_index(text, "?", 1), "//") > 0, text).otherwise(F.concat(F.lit("http://"), text))
     _, authority, path, query = _parts(text)
     host = F.regexp_replace(F.regexp_replace(F.lower(authority), "^.*@", ""), r"^www\.", "")
-    keep = lambda name: ~(name.isin(AUDIT_TRACKING) | _starts(name, AUDIT_PREFIXES))
+    keep = lambda name: ~(name.isin(*AUDIT_TRACKING) | _starts(name, AUDIT_PREFIXES))
     return F.when(strip(url) == "", "").otherwise(F.concat(host, _path(path), _query(query, keep, True)))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headwater.functions import keywords, text
+from headwater.session import settled
 
 THRESHOLD = 0.4
 
@@ -21,6 +22,17 @@ def classify(articles: DataFrame, interest: list[str], exclude: list[str]) -> Da
     return out.withColumn("verdict", F.when(F.col("reason").startswith("interest:"), "kept").otherwise("dropped")).drop("nth", "bad", "good")
 
 
+def in_store_order(articles: DataFrame, day: str = "kst_date") -> DataFrame:
+    """``pos`` anew: the place in the day by time seen and link, from 0. Groups depend on this order."""
+    w = Window.partitionBy(day).orderBy("seen_ts", "url", "pos")
+    return articles.withColumn("pos", F.row_number().over(w).cast("long") - 1)
+
+
+def collector_order(articles: DataFrame, day: str = "kst_date") -> DataFrame:
+    """``place`` of a day's articles as the collector lists them: latest first, then by link."""
+    return articles.withColumn("place", F.row_number().over(Window.partitionBy(day).orderBy(F.desc("seen_ts"), "url", "pos")))
+
+
 def jaccard_pairs(titles: DataFrame, threshold: float = THRESHOLD, day: str = "kst_date") -> DataFrame:
     """Pairs of a day's titles with their similarity, from rows of day, pos and tokens.
 
@@ -40,17 +52,28 @@ def jaccard_pairs(titles: DataFrame, threshold: float = THRESHOLD, day: str = "k
     return both.withColumn("similarity", text.jaccard(F.col("ta"), F.col("tb"))).where(F.col("similarity") >= threshold - 1e-12).select(day, "pos_a", "pos_b", "similarity")
 
 
+def with_lead(titles: DataFrame, day: str = "kst_date") -> DataFrame:
+    """``lead``: the first title of the day with the same set of tokens. Copies meet by their set, never in pairs."""
+    sets = titles.withColumn("tokens", F.array_sort("tokens"))
+    firsts = sets.groupBy(day, "tokens").agg(F.min("pos").alias("lead"))
+    return sets.join(firsts, [day, "tokens"])
+
+
 def greedy_groups(titles: DataFrame, threshold: float = THRESHOLD, day: str = "kst_date") -> DataFrame:
     """Each title, in order, joins the group with the most similar member so far, the earliest of equal ones, or opens one.
 
-    The pairs that reach the threshold are found by the distributed join; a day's own order is then followed over
-    those pairs alone, in one task a day.
+    A title with the tokens of an earlier one joins that one's group, as nothing is more similar, so only the
+    first of each set takes part. The pairs that reach the threshold are found by the distributed join; a day's own order is
+    then followed over those pairs alone, in one task a day.
     """
-    pairs = jaccard_pairs(titles, threshold, day).select(day, F.col("pos_b").alias("pos"), "pos_a", "similarity")
-    rows = titles.select(day, "pos").join(pairs, [day, "pos"], "left")
+    led = with_lead(titles, day)
+    firsts = led.where("pos = lead")
+    pairs = jaccard_pairs(firsts, threshold, day).select(day, F.col("pos_b").alias("pos"), "pos_a", "similarity")
+    rows = firsts.select(day, "pos").join(pairs, [day, "pos"], "left")
 
     def follow(own: pd.DataFrame) -> pd.DataFrame:
         group: dict[int, int] = {}
+        opened = 0
         for pos, near in own.sort_values(["pos", "pos_a"]).groupby("pos", sort=True):
             best, score = None, -1.0
             scores: dict[int, float] = {}
@@ -61,30 +84,58 @@ def greedy_groups(titles: DataFrame, threshold: float = THRESHOLD, day: str = "k
             for g in sorted(scores):
                 if scores[g] > score:
                     best, score = g, scores[g]
-            group[int(pos)] = len(set(group.values())) if best is None else best
-        return pd.DataFrame({day: own[day].iloc[0], "pos": list(group), "group_id": list(group.values())})
+            group[int(pos)] = opened if best is None else best
+            opened += best is None
+        return pd.DataFrame({day: own[day].iloc[0], "lead": list(group), "group_id": list(group.values())})
 
     kind = dict(titles.dtypes)[day]
-    return rows.groupBy(day).applyInPandas(follow, f"{day} {kind}, pos long, group_id long")
+    groups = rows.groupBy(day).applyInPandas(follow, f"{day} {kind}, lead long, group_id long")
+    return led.select(day, "pos", "lead").join(groups, [day, "lead"]).select(day, "pos", "group_id")
 
 
 def medoids(groups: DataFrame, titles: DataFrame, day: str = "kst_date") -> DataFrame:
-    """The member of each group that is most similar to the others together; the first of equal ones."""
-    members = groups.join(titles.select(day, "pos", "tokens"), [day, "pos"])
-    other = members.select(day, "group_id", F.col("pos").alias("p2"), F.col("tokens").alias("t2"))
-    sums = members.join(other, [day, "group_id"]).groupBy(day, "group_id", "pos").agg(F.round(F.sum(F.when(F.col("pos") != F.col("p2"), text.jaccard(F.col("tokens"), F.col("t2"))).otherwise(0.0)), 9).alias("score"))
-    return sums.groupBy(day, "group_id").agg(F.max_by("pos", F.struct("score", -F.col("pos"))).alias("medoid"))
+    """The member of each group that is most similar to the others together; the first of equal ones.
+
+    Sums are over the group's distinct sets, each weighted by its copies; sets that share no token add nothing and aren't met.
+    """
+    led = with_lead(groups.join(titles.select(day, "pos", "tokens"), [day, "pos"]), day)
+    sets = led.groupBy(day, "group_id", "lead").agg(F.first("tokens").alias("tokens"), F.count("*").alias("copies"))
+    size = sets.select(day, "group_id", "lead", "copies", F.size("tokens").alias("n"), F.explode("tokens").alias("t"))
+    other = size.select(day, "group_id", "t", F.col("lead").alias("lead_b"), F.col("copies").alias("copies_b"), F.col("n").alias("n_b"))
+    shared = size.join(other, [day, "group_id", "t"]).groupBy(day, "group_id", "lead", "lead_b").agg(F.count("*").alias("both"), F.first("n").alias("n"), F.first("n_b").alias("n_b"), F.first("copies_b").alias("copies_b"))
+    similarity = F.col("both") / (F.col("n") + F.col("n_b") - F.col("both"))
+    # a title isn't compared with itself, but with its own copies
+    weight = F.col("copies_b") - (F.col("lead") == F.col("lead_b")).cast("long")
+    sums = shared.groupBy(day, "group_id", "lead").agg(F.round(F.sum(similarity * weight), 9).alias("score"))
+    return sums.groupBy(day, "group_id").agg(F.max_by("lead", F.struct("score", -F.col("lead"))).alias("medoid"))
 
 
 def group_summary(groups: DataFrame, articles: DataFrame, regulation: list[str], tool: list[str], day: str = "kst_date") -> DataFrame:
-    """Size, distinct outlets and kind of each group, with its place in the day's order."""
+    """Size, distinct outlets and kind of each group, with its place in the day's order.
+
+    ``domain_count`` may be 0 and orders the groups; ``told_by`` is what sentences say, the size where no outlet is known.
+    """
     rows = groups.join(articles.select(day, "pos", "title", "domain"), [day, "pos"])
     agg = rows.groupBy(day, "group_id").agg(
         F.count("*").alias("article_count"), F.count_distinct(F.nullif("domain", F.lit(""))).alias("domain_count"), F.sum(keywords.hits(F.col("title"), regulation)).alias("reg"), F.sum(keywords.hits(F.col("title"), tool)).alias("tool"), F.min("pos").alias("first_pos")
     )
-    kind = F.when((F.col("reg") > 0) & (F.col("reg") >= F.col("tool")), "policy").when(F.col("tool") > 0, "tool").otherwise("other")
     place = F.row_number().over(Window.partitionBy(day).orderBy(F.desc("domain_count"), F.desc("article_count"), "first_pos"))
-    return agg.withColumn("kind", kind).withColumn("place", place).drop("reg", "tool", "first_pos")
+    told = F.when(F.col("domain_count") > 0, F.col("domain_count")).otherwise(F.col("article_count"))
+    return agg.withColumn("kind", kind_of(F.col("reg"), F.col("tool"))).withColumn("told_by", told).withColumn("place", place).drop("reg", "tool", "first_pos")
+
+
+def kind_of(regulation, tool):
+    return F.when((regulation > 0) & (regulation >= tool), "policy").when(tool > 0, "tool").otherwise("other")
+
+
+def shaped_groups(titles: DataFrame, regulation: list[str], tool: list[str], threshold: float = THRESHOLD, day: str = "kst_date") -> DataFrame:
+    """Groups of kept titles (day, pos, url, title, domain, tokens): group_id, place, kind, headline and urls in the order of the titles."""
+    # written once, as three of the tables below come from them
+    groups = settled(greedy_groups(titles, threshold, day))
+    lead = medoids(groups, titles, day).join(titles.select(day, F.col("pos").alias("medoid"), "title"), [day, "medoid"])
+    links = groups.join(titles.select(day, "pos", "url"), [day, "pos"]).groupBy(day, "group_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "url"))), lambda x: x["url"]).alias("urls"))
+    out = group_summary(groups, titles, regulation, tool, day).join(lead, [day, "group_id"]).join(links, [day, "group_id"])
+    return out.select(day, "group_id", "place", "kind", "article_count", "domain_count", "medoid", text.headline_sentence(F.col("title"), F.col("told_by")).alias("headline"), "urls")
 
 
 def brief_selection(summary: DataFrame, most: int = 5, day: str = "kst_date") -> DataFrame:

@@ -35,17 +35,18 @@ def load(spark: SparkSession, new: DataFrame, path: str, *order: str) -> DataFra
     """
     rows = new.where(F.coalesce(F.trim("url"), F.lit("")) != "")
     fresh = keep_first(rows, F.col("url"), *order)
-    stored = _stored(spark, path)
-    if stored is not None:
-        fresh = fresh.join(stored.select("url"), "url", "left_anti").select(*new.columns)
-    before = 0 if stored is None else stored.count()
+    known = stored(spark, path)
+    if known is not None:
+        fresh = fresh.join(known.select("url"), "url", "left_anti").select(*new.columns)
+    before = 0 if known is None else known.count()
     seen = rows.count()
     fresh.write.mode("append").partitionBy("kst_date").parquet(path)
     after = spark.read.parquet(path).count()
     return spark.createDataFrame([(after - before, seen - (after - before), after)], "inserted long, duplicated long, total long")
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at a path, or None where there is none yet."""
     from pyspark.errors import AnalysisException
 
     try:
@@ -61,6 +62,17 @@ def run_log(batches: DataFrame) -> DataFrame:
     return rows.groupBy("batch").agg(F.count("*").alias("n")).join(firsts, "batch", "left").select("batch", F.coalesce("inserted", F.lit(0)).alias("inserted"), (F.col("n") - F.coalesce("inserted", F.lit(0))).alias("duplicated"))
 
 
+def append_run(spark: SparkSession, day: Column, metrics: DataFrame, started_at: str, path: str) -> None:
+    """One row of the run log for a load: its day, when it began, and what ``load`` told."""
+    metrics.select(day.alias("kst_date"), F.lit(started_at).alias("started_at"), "inserted", "duplicated").write.mode("append").parquet(path)
+
+
+def runs_of_day(log: DataFrame, day: Column) -> DataFrame:
+    """The loads of a day, numbered in the order in which they began."""
+    order = Window.partitionBy("kst_date").orderBy("started_at")
+    return log.where(F.col("kst_date") == day).withColumn("run", F.row_number().over(order))
+
+
 def save_decisions(spark: SparkSession, decisions: DataFrame, path: str) -> None:
     """Replaces the days that ``decisions`` has, and no other."""
     decisions.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("kst_date").parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,18 +16,27 @@ def daily_counts(articles: DataFrame) -> DataFrame:
     return timewin.calendar(counted).join(counted, "kst_date", "left").select("kst_date", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def recent_average(daily: DataFrame, days: int = 7, least: int = 3) -> DataFrame:
-    """Mean of the days before that have articles, and how many there are; null with fewer than ``least``."""
+def recent_average(daily: DataFrame, days: int = 7, least: int = 3, since: Column | None = None) -> DataFrame:
+    """Mean of the days before that have articles, and how many there are; null with fewer than ``least``. Days before ``since`` don't count."""
     number = F.datediff("kst_date", F.lit("1970-01-01"))
     # one row for each day of the history
     w = Window.orderBy("d").rangeBetween(-days, -1)
-    some = F.when(F.col("n") > 0, F.col("n"))
+    some = F.when((F.col("n") > 0) if since is None else (F.col("n") > 0) & (F.col("kst_date") >= since), F.col("n"))
     out = daily.withColumn("d", number).select("kst_date", "n", F.avg(some).over(w).alias("mean"), F.count(some).over(w).alias("days_used"))
     return out.select("kst_date", "n", F.when(F.col("days_used") >= least, F.round("mean", 6)).alias("avg_n"), "days_used")
 
 
-def keyword_counts(articles: DataFrame, words: list[str]) -> DataFrame:
-    """Articles whose title has the keyword, zeros included: one scan with a sum each."""
+def total_of_day(articles: DataFrame, day: Column) -> DataFrame:
+    return articles.where(F.col("kst_date") == day).agg(F.count("*").alias("n"))
+
+
+def keyword_counts(articles: DataFrame, words: list[str], first: date | None = None, last: date | None = None) -> DataFrame:
+    """Articles whose title has the keyword, zeros included: one scan with a sum each. Days are inclusive; a reversed range is turned round."""
+    if first and last:
+        first, last = min(first, last), max(first, last)
+    for bound, sign in ((first, 1), (last, -1)):
+        if bound:
+            articles = articles.where(F.col("kst_date") >= F.lit(bound) if sign > 0 else F.col("kst_date") <= F.lit(bound))
     distinct = list({w.lower(): w for w in reversed(words)}.values())[::-1]
     sums = articles.agg(*[F.coalesce(F.sum(keywords.counts(F.col("title"), w).cast("long")), F.lit(0)).alias(f"k{i}") for i, w in enumerate(distinct)])
     return sums.select(F.inline(F.array(*[F.struct(F.lit(w).alias("keyword"), F.col(f"k{i}").alias("n")) for i, w in enumerate(distinct)])))
@@ -75,3 +86,18 @@ def history(daily: DataFrame, lookback: int = 7) -> DataFrame:
     w = Window.orderBy("d").rangeBetween(-lookback, -1)
     out = daily.withColumn("d", F.datediff("kst_date", F.lit("1970-01-01")))
     return out.select("kst_date", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("n_before"), F.count_if(F.col("n") > 0).over(w).alias("days_before")).withColumn("ready", F.col("n_before") > 0)
+
+
+def daily_stats(articles: DataFrame, words: list[str], window: int = 7, least: int = 3, lookback: int = 7, since: Column | None = None) -> DataFrame:
+    """For each day what its brief says in numbers: articles, mean of the days before, days used, articles of the look-back, and keywords first seen.
+
+    Keywords are left out (``skipped``) where nothing at all is stored for the look-back, as everything would be new then.
+    """
+    daily = daily_counts(articles)
+    mean = recent_average(daily, window, least, since).select("kst_date", F.col("n").alias("article_count"), F.coalesce("avg_n", F.lit(0.0)).alias("avg_7d"), "days_used")
+    past = history(daily, lookback).select("kst_date", "n_before")
+    place = F.create_map(*[F.lit(x) for i, w in enumerate(words) for x in (w, i)])
+    new = first_seen(articles, words, lookback).groupBy("kst_date").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.element_at(place, F.col("keyword")).alias("i"), "keyword"))), lambda x: x["keyword"]).alias("seen"))
+    out = mean.join(past, "kst_date").join(new, "kst_date", "left").withColumn("skipped", F.col("n_before") == 0)
+    none = F.array().cast("array<string>")
+    return out.withColumn("first_seen", F.when(F.col("skipped"), none).otherwise(F.coalesce("seen", none))).drop("seen")

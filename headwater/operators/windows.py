@@ -39,3 +39,11 @@ def bisect(rows: DataFrame, first: datetime, last: datetime, cap: int, depth: in
     hit = F.col("count") >= cap
     split = hit & F.col("splittable") & (F.col("depth") < max(0, min(5, depth)))
     return out.select("n", "depth", "start", "end", "count", hit.alias("hit_cap"), split.alias("split"), (hit & ~split).alias("truncated"))
+
+
+def union_of_windows(rows: DataFrame, asked: DataFrame, at: str = "seen_ts") -> DataFrame:
+    """The rows of all windows that were asked for, with the window's number. Few windows are broadcast; a row comes once for each that holds it."""
+    first, last = asked.agg(F.min("start"), F.max("end")).first()
+    inside = rows.where(F.col(at).between(F.lit(first), F.lit(last)))
+    second = F.date_trunc("second", at).cast("timestamp_ntz")
+    return inside.join(F.broadcast(asked.select("n", "start", "end")), second.between(F.col("start"), F.col("end")))

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from headwater.functions import keywords, text, timewin, urls
 from headwater.operators import grouping, load, quality, report, series, windows
-from headwater.sources.articles import articles, parse_slices, table
+from headwater.session import shared_folder
+from headwater.sources.articles import articles, table
 from headwater.streaming import slices
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,7 +25,7 @@ REGULATION, TOOL = ["that", "was"], ["and", "in"]
 DAY = date(2024, 1, 10)
 FIRST, LAST = datetime(2024, 1, 9, 15), datetime(2024, 1, 10, 14, 59, 59)
 
-ART = """WITH art AS (SELECT p.page_id AS pos, p.url, substr(split_part(coalesce(d.text, ''), chr(10), 1), 1, 80) AS title, d.source AS domain, e.ts AS seen_ts,
+ART = """WITH art AS (SELECT p.page_id AS pos, p.url, split_part(coalesce(d.text, ''), chr(10), 1) AS title, d.source AS domain, e.ts AS seen_ts,
  CAST(e.ts + INTERVAL 9 HOUR AS DATE) AS kst_date FROM pages p JOIN documents d ON d.doc_id = p.page_id JOIN events e ON e.event_id = (p.page_id * 37) % (SELECT count(*) FROM events)),
 cal AS (SELECT CAST(unnest(generate_series((SELECT min(kst_date) FROM art), (SELECT max(kst_date) FROM art), INTERVAL 1 DAY)) AS DATE) AS kst_date),
 daily AS (SELECT cal.kst_date, count(art.pos) AS n FROM cal LEFT JOIN art USING (kst_date) GROUP BY cal.kst_date)"""
@@ -131,8 +132,8 @@ def _params(expr: str, bad: str) -> str:
 
 _PARTS = r"SELECT page_id AS pos, url, lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)) AS a, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS p, regexp_extract(url, '\?([^#]*)', 1) AS q FROM pages"
 _PATH = "CASE WHEN p = '' THEN '/' WHEN length(p) > 1 THEN rtrim(p, '/') ELSE p END"
-COLLECT = rf"regexp_replace(a, '^(www\.|m\.|mobile\.)', '') || {_PATH} || " + _params("q", f"regexp_matches(lower(x), '^((utm_|_ga|ga_|nil_|t__nil|pk_|mtm_|piwik_)|({'|'.join(urls.TRACKING)})(=|$))') OR NOT regexp_matches(x, '=.')")
-AUDIT = rf"regexp_replace(a, '^www\.', '') || {_PATH} || " + _params("q", f"regexp_matches(lower(x), '^((utm_|_ga)|({'|'.join(urls.AUDIT_TRACKING)})(=|$))')")
+COLLECT = rf"regexp_replace(a, '^(www\.|m\.|mobile\.)', '') || {_PATH} || " + _params("q", "regexp_matches(lower(x), '^((utm_|_ga|ga_|nil_|t__nil|pk_|mtm_|piwik_)|(fbclid|gclid|gclsrc|dclid|msclkid|ttclid|yclid|igshid|mc_cid|mc_eid|spm|ref|referer|referrer|referral|source|src|from|cmpid|cmp|campaign|cloc|dablewidget|outputtype|amp)(=|$))') OR NOT regexp_matches(x, '=.')")
+AUDIT = rf"regexp_replace(a, '^www\.', '') || {_PATH} || " + _params("q", "regexp_matches(lower(x), '^((utm_|_ga)|(fbclid|gclid|igshid|spm|ref|refer|cmpid|ncid)(=|$))')")
 
 
 @query(f"SELECT pos, {COLLECT} AS k FROM ({_PARTS})")
@@ -240,41 +241,11 @@ def jaccard_pairs(spark, sf):
     return grouping.jaccard_pairs(_tokens(spark, sf)).withColumn("similarity", F.round("similarity", 9))
 
 
-@query()
-def greedy_groups(spark, sf):
-    return grouping.greedy_groups(_tokens(spark, sf))
+#: One decoding of the entities that the pages have; the ampersand comes last, so that what it makes isn't decoded again.
+PAGE_TITLE = r"""trim(regexp_replace(regexp_replace(replace(replace(replace(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))"""
 
 
-@query()
-def medoid(spark, sf):
-    t = _tokens(spark, sf)
-    return grouping.medoids(grouping.greedy_groups(t), t)
-
-
-def _summary(spark, sf):
-    t = _tokens(spark, sf)
-    return grouping.group_summary(grouping.greedy_groups(t), t, REGULATION, TOOL)
-
-
-@query()
-def group_rank(spark, sf):
-    return _summary(spark, sf)
-
-
-@query()
-def brief_selection(spark, sf):
-    return grouping.brief_selection(_summary(spark, sf), 5)
-
-
-@query()
-def headline_sentences(spark, sf):
-    t = _tokens(spark, sf)
-    g = grouping.greedy_groups(t)
-    lead = grouping.medoids(g, t).join(t.select("kst_date", F.col("pos").alias("medoid"), "title"), ["kst_date", "medoid"])
-    return lead.join(grouping.group_summary(g, t, REGULATION, TOOL), ["kst_date", "group_id"]).select("kst_date", "group_id", "place", text.headline_sentence(F.col("title"), F.col("domain_count")).alias("sentence"))
-
-
-@query(r"SELECT page_id AS pos, trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS page_title FROM pages")
+@query(f"SELECT page_id AS pos, {PAGE_TITLE} AS page_title FROM pages")
 def page_title(spark, sf):
     return table(spark, sf, "pages").select(F.col("page_id").alias("pos"), text.page_title(F.col("html")).alias("page_title"))
 
@@ -283,19 +254,21 @@ _WS = "list_distinct(regexp_extract_all(lower({}), '[0-9a-z]{{2,}}'))"
 _A, _B = _WS.format("a"), _WS.format("b")
 
 
-@query(r"WITH p AS (SELECT page_id AS pos, substr(split_part(coalesce(d.text, ''), chr(10), 1), 1, 80) AS a, regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '<[^>]+>', ' ', 'g') AS b FROM pages JOIN documents d ON doc_id = page_id) " + f"SELECT pos, round(CASE WHEN least(len({_A}), len({_B})) > 0 THEN len(list_intersect({_A}, {_B})) / least(len({_A}), len({_B})) ELSE 0.0 END, 9) AS overlap FROM p")
+@query(f"WITH p AS (SELECT page_id AS pos, split_part(coalesce(d.text, ''), chr(10), 1) AS a, {PAGE_TITLE} AS b FROM pages JOIN documents d ON doc_id = page_id) SELECT pos, round(CASE WHEN least(len({_A}), len({_B})) > 0 THEN len(list_intersect({_A}, {_B})) / least(len({_A}), len({_B})) ELSE 0.0 END, 9) AS overlap FROM p")
 def title_overlap(spark, sf):
     both = articles(spark, sf).select("pos", "title").join(table(spark, sf, "pages").select(F.col("page_id").alias("pos"), "html"), "pos")
     return both.select("pos", F.round(text.overlap(text.word_set(F.col("title")), text.word_set(text.page_title(F.col("html")))), 9).alias("overlap"))
 
 
-_CAND = ", ".join(f"({n}, {d}, TIMESTAMP '{a}', TIMESTAMP '{b}', {c}, {[n >> i for i in range(1, d + 1)]}::INT[])" for n, d, a, b, c in windows.candidates(FIRST, LAST, 5))
+#: Windows are halved in SQL itself: a window asks for its halves while it is full.
+BISECT = """WITH RECURSIVE w AS (SELECT 1 AS n, 0 AS depth, TIMESTAMP '2024-01-09 15:00:00' AS a, TIMESTAMP '2024-01-10 14:59:59' AS b,
+ (SELECT count(*) FROM events WHERE date_trunc('second', ts) BETWEEN TIMESTAMP '2024-01-09 15:00:00' AND TIMESTAMP '2024-01-10 14:59:59' AND ts <= TIMESTAMP '2024-01-10 14:59:59') AS c
+UNION ALL SELECT n, depth, a, b, count(e.ts) FROM (SELECT 2 * n + h AS n, depth + 1 AS depth, CASE WHEN h = 0 THEN a ELSE m END AS a, CASE WHEN h = 0 THEN m ELSE b END AS b
+ FROM (SELECT *, a + to_seconds(CAST(floor(epoch(b - a) / 2) AS BIGINT)) AS m FROM w WHERE c >= 60 AND depth < 5 AND epoch(b - a) >= 2), (VALUES (0), (1)) x(h)) k
+ LEFT JOIN events e ON date_trunc('second', e.ts) BETWEEN k.a AND k.b AND e.ts BETWEEN TIMESTAMP '2024-01-09 15:00:00' AND TIMESTAMP '2024-01-10 14:59:59' GROUP BY n, depth, a, b)"""
 
 
-@query(
-    f"WITH w(n, depth, start, end_, can, above) AS (VALUES {_CAND}), c AS (SELECT w.*, count(ts) AS cnt FROM w LEFT JOIN events ON date_trunc('second', ts) BETWEEN start AND end_ AND ts BETWEEN TIMESTAMP '{FIRST}' AND TIMESTAMP '{LAST}' GROUP BY ALL), f AS (SELECT coalesce(list(n), []) AS l FROM c WHERE cnt >= 60) "
-    "SELECT n, depth, cnt AS count, cnt >= 60 AS hit_cap, cnt >= 60 AND can AND depth < 5 AS split, cnt >= 60 AND NOT (can AND depth < 5) AS truncated FROM c, f WHERE len(list_filter(above, lambda x: NOT list_contains(l, x))) = 0"
-)
+@query(f"{BISECT} SELECT n, depth, c AS count, c >= 60 AS hit_cap, c >= 60 AND depth < 5 AND epoch(b - a) >= 2 AS split, c >= 60 AND NOT (depth < 5 AND epoch(b - a) >= 2) AS truncated FROM w")
 def window_bisect(spark, sf):
     return windows.bisect(table(spark, sf, "events"), FIRST, LAST, 60, at="ts").drop("start", "end")
 
@@ -306,31 +279,6 @@ def stray_split(spark, sf):
     return own.select(F.lit("own").alias("side")).union(stray.select(F.lit("stray").alias("side"))).groupBy("side").agg(F.count("*").alias("n"))
 
 
-def _qa(spark, sf, all_checks: bool):
-    a = articles(spark, sf)
-    w = windows.bisect(table(spark, sf, "events"), FIRST, LAST, 60, at="ts")
-    rows = quality.collected(a, w, F.lit(DAY))
-    if all_checks:
-        rows += quality.stored(a, load.first_wins(a, "pos"), series.daily_counts(a), F.lit(DAY), _judged(spark, sf))
-        rows.append(quality.links(a, table(spark, sf, "pages")))
-    return quality.union(rows)
-
-
-@query()
-def qa_collected(spark, sf):
-    return _qa(spark, sf, False)
-
-
-@query()
-def qa_all(spark, sf):
-    return _qa(spark, sf, True)
-
-
-@query()
-def qa_summary(spark, sf):
-    return quality.summary(_qa(spark, sf, True))
-
-
 @query(f"{ART} SELECT CAST(sum(CASE WHEN trim(coalesce(url, '')) = '' THEN 1 ELSE 0 END) AS BIGINT) AS no_url, CAST(sum(CASE WHEN trim(title) = '' THEN 1 ELSE 0 END) AS BIGINT) AS no_title, CAST(sum(CASE WHEN trim(coalesce(domain, '')) = '' THEN 1 ELSE 0 END) AS BIGINT) AS no_domain FROM art")
 def required_fields(spark, sf):
     blank = lambda c: F.count_if(text.strip(F.col(c)) == "")
@@ -339,8 +287,7 @@ def required_fields(spark, sf):
 
 @query(f"{JUDGED} SELECT kst_date, pos, CASE WHEN reason LIKE 'interest:%' THEN 'kept' ELSE 'dropped' END AS verdict, CAST(row_number() OVER (PARTITION BY kst_date ORDER BY reason NOT LIKE 'interest:%', pos) - 1 AS INT) AS position FROM jd")
 def decisions_roundtrip(spark, sf):
-    folder = spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/headwater"
-    path = posixpath.join(folder, f"decisions-{uuid.uuid4().hex}")
+    path = posixpath.join(shared_folder(spark), f"decisions-{uuid.uuid4().hex}")
     d = load.positioned(_judged(spark, sf)).select("kst_date", "pos", "verdict", "position")
     load.save_decisions(spark, d, path)
     load.save_decisions(spark, d.where(F.col("kst_date") == F.lit(DAY)), path)
@@ -358,36 +305,11 @@ def missing_days(spark, sf):
     return report.missing_days(timewin.calendar(series.daily_counts(a)), _judged(spark, sf).where("verdict = 'kept'"), date(2024, 1, 25))
 
 
-@query()
-def report_groups(spark, sf):
-    t = _tokens(spark, sf)
-    g = grouping.greedy_groups(t)
-    lead = grouping.medoids(g, t).join(t.select("kst_date", F.col("pos").alias("medoid"), F.col("title").alias("headline")), ["kst_date", "medoid"])
-    links = g.join(t.select("kst_date", "pos", "url"), ["kst_date", "pos"]).groupBy("kst_date", "group_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "url"))), lambda x: x["url"]).alias("urls"))
-    kinds = grouping.group_summary(g, t, REGULATION, TOOL).select("kst_date", "group_id", "kind")
-    rows = lead.join(links, ["kst_date", "group_id"]).join(kinds, ["kst_date", "group_id"]).withColumn("week", F.to_date(F.date_trunc("WEEK", "kst_date")))
-    merged = report.merge_headlines(rows)
-    return merged.select("week", "kind", "first_date", "headline", F.size("urls").alias("n_urls"), F.array_join("urls", " ").alias("urls"))
-
-
-@query()
-def slice_scan(spark, sf):
-    """Lines of slice files made from the articles, parsed again."""
-    f = [""] * 27
-    a = articles(spark, sf)
-    columns = [F.lit(x) for x in f]
-    columns[1], columns[3], columns[4] = F.date_format(F.col("seen_ts").cast("timestamp"), "yyyyMMddHHmmss"), F.col("domain"), F.col("url")
-    columns[25], columns[26] = F.lit("srclc:kor;eng:x"), F.concat(F.lit("<PAGE_TITLE>"), F.regexp_replace("title", "\t", " "), F.lit("</PAGE_TITLE>"))
-    kept, _ = parse_slices(a.select(F.concat_ws("\t", *columns).alias("line")), r"\bthe\b")
-    return kept
-
-
 @query("SELECT strftime(time_bucket(INTERVAL 15 MINUTE, ts), '%Y%m%d%H%M%S') AS stamp, count(*) AS n FROM events GROUP BY 1")
 def stream_slice_counts(spark, sf):
-    folder = posixpath.join(spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/headwater", f"stream-{uuid.uuid4().hex}")
-    schema = table(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    return slices.run_available(slices.slice_counts(stream), f"slices_{uuid.uuid4().hex}", "complete", folder)
+    folder = posixpath.join(shared_folder(spark), f"stream-{uuid.uuid4().hex}")
+    stream = spark.readStream.schema(table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return slices.run_available(slices.slice_counts(stream), f"{folder}/counts", f"{folder}/state")
 
 
 @query(f"{ART} SELECT kst_date, sum(length(title)) AS chars, CAST(sum(CASE WHEN ends_with(title, '.') THEN 1 ELSE 0 END) AS BIGINT) AS sentences FROM art GROUP BY kst_date")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "headwater", cores: int | None = None, **conf: str) -> SparkSession:
@@ -23,3 +24,21 @@ def session(app: str = "headwater", cores: int | None = None, **conf: str) -> Sp
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see: ``spark.checkpoint.dir``. Only a local session may go without and gets one of its own."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="headwater-")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(found)
+    return found
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` computed once and written to the shared folder, for plans that read it several times."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()

@@ -36,12 +36,17 @@ def test_entities_are_decoded_once_after_tags(spark):
 
 def test_link_check_has_no_words_from_entities(spark):
     df = spark.createDataFrame(PAGES, "url string, title string, html string")
-    odd = quality.links(df.select("url", "title"), df.select("url", "html")).first()
+    fetched = df.select("url", F.lit(200).alias("status"), "html")
+    odd = quality.links(df.select("url", "title"), fetched, True).first()
     want = 0
     for _, a, page in PAGES:
         x, y = words(a), words(title(page))
         want += not (x and y) or len(x & y) / min(len(x), len(y)) < quality.LIMITS["overlap"]
-    assert float(odd.value) == want
+    assert (odd.n, odd.status) == (want, "warn")
+    gone = fetched.where("url <> 'c'").withColumn("status", F.when(F.col("url") == "a", 404).otherwise(200))
+    # a answers 404, b fits, c isn't reached, d has no title
+    assert tuple(quality.links(df.select("url", "title"), gone, True).first())[2:] == ("warn", 2, None, "fits=1;unreached=1")
+    assert tuple(quality.links(df.select("url", "title"), gone).first())[2:] == ("ok", 0, None, "off")
 
 
 def test_tables(spark, sf):

@@ -1,17 +1,13 @@
 """Titles are whole first lines, against plain Python."""
 
-import glob
-import os
 import re
 
-import duckdb
 import pyarrow.parquet as pq
 import pytest
 
 from headwater.plans import catalog
 from headwater.plans.catalog import QUERIES
 from headwater.sources.articles import articles
-from tests.test_catalog import plain
 
 
 @pytest.fixture(scope="module")
@@ -36,15 +32,3 @@ def test_keywords_and_tokens_see_the_whole_line(spark, sf, titles):
     assert {r.keyword: r.n for r in QUERIES["keyword_counts"](spark, sf).collect()} == hits
     assert {r.pos: r.tokens.split(" ") for r in QUERIES["title_tokens"](spark, sf).collect()} == {p: sorted(words(t)) for p, t in titles.items()}
     assert sum(r.chars for r in QUERIES["title_stats"](spark, sf).collect()) == sum(map(len, titles.values()))
-
-
-@pytest.mark.parametrize("name", sorted(n for n, q in catalog.SQL.items() if ", 1, 80)" in q and n != "title_overlap"))
-def test_same_as_sql_over_whole_lines(spark, sf, name):
-    """The registered SQL cuts titles to 80 characters; with the cut taken out of a copy, it gives the same rows. test_page_titles.py has title_overlap, whose SQL has no entities."""
-    con = duckdb.connect()
-    for p in glob.glob(f"{sf}/*.parquet"):
-        con.execute(f"CREATE VIEW {os.path.basename(p)[:-8]} AS SELECT * FROM '{p}'")
-    cut = "substr(split_part(coalesce(d.text, ''), chr(10), 1), 1, 80)"
-    assert cut in catalog.SQL[name]
-    df, found = QUERIES[name](spark, sf), con.execute(catalog.SQL[name].replace(cut, "split_part(coalesce(d.text, ''), chr(10), 1)"))
-    assert plain(df.collect(), df.columns) == plain(found.fetchall(), [d[0] for d in found.description])
