@@ -12,7 +12,7 @@ Documents with equal sets form a class and take part once. A first pass counts f
 each class its shingles that any other class has too: with fewer than 80 in 100 of them it has no similar class, so
 documents that only share passages are done. For the rest, a
 bucket of signatures links each document of a signature to the smallest; connected ones are candidate groups.
-Their sets are compared exactly in the group: documents outside the largest
+Their sets, as 56-bit hashes of shingles, are compared in whole in the group: documents outside the largest
 component found so far are counted against the whole group through an inverted index, so a group
 of copies costs a pass for each straggler and no pair is written. Groups over
 ``GROUP`` shingles are dealt out as pairs of blocks.
@@ -181,7 +181,7 @@ def _send_active(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[tuple[in
     for batch in batches:
         for i in range(0, batch.num_rows, 512):
             part = batch.slice(i, 512)
-            sets = [np.frombuffer(x, "<u8") for x in part.column(1).to_pylist()]
+            sets = [packing.from_upper(x) for x in part.column(1).to_pylist()]
             doc, h, _ = signatures(np.concatenate(sets), np.array([len(x) for x in sets]))
             yield from repeats.send_entries((h % U64(n)).astype(np.int64), n, part.column(0).to_numpy()[doc], [(h >> U64(32)).astype(np.uint32)], raw=(0,))
 
@@ -239,7 +239,7 @@ def _verify(group: pa.Table, percent: int) -> pa.Table:
     first, _, sizes = packing.by_doc(task[order])
     for f, s in zip(first.tolist(), sizes.tolist(), strict=True):
         own = order[f : f + s]
-        sets = [np.frombuffer(blobs[int(i)].as_buffer(), "<u8") for i in own]
+        sets = [packing.from_upper(blobs[int(i)].as_py()) for i in own]
         comp = linked(ids[own], np.array([len(x) for x in sets]), np.concatenate(sets), percent)
         far = comp != np.arange(len(own))
         out_u.append(ids[own][far])
@@ -252,7 +252,7 @@ def _set_rows(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordBa
     for ids, data, offsets in chunks(batches, CHUNK):
         sets, counts = shingles(data, offsets, n)
         ends = np.cumsum(counts)
-        blobs = [sets[e - c : e].tobytes() for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
+        blobs = [packing.upper(sets[e - c : e]) for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
         yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], names=["doc_id", "shingles"])
 
 
@@ -277,8 +277,6 @@ def linked_rows(own: DataFrame, b: int, percent: int = 80, n: int = 5) -> DataFr
     if percent < 80:
         raise ValueError("the size bands and the Hamming bound are made for a similarity of 0.8 or more")
     common.shared_folder(own.sparkSession)
-    # shingles take more memory than the texts they come from
-    b = 2 * b + 1
     classes = own.mapInArrow(partial(_class_rows, n=n), "doc_id long, n_shingles long, class long").checkpoint()
     firsts = classes.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
     sent = own.mapInArrow(lambda batches: repeats.rows(_send(batches, b, n, percent)), repeats.BLOBS)
@@ -286,7 +284,9 @@ def linked_rows(own: DataFrame, b: int, percent: int = 80, n: int = 5) -> DataFr
     active = firsts.join(shared.groupBy("bucket").applyInArrow(_active, "class long"), "class").select("doc_id").distinct().checkpoint()
     active = F.broadcast(active) if active.count() <= BROADCAST_ROWS else active
     sets = own.join(active, "doc_id").select("doc_id", "text").mapInArrow(partial(_set_rows, n=n), "doc_id long, shingles binary").checkpoint()
-    again = sets.mapInArrow(lambda batches: repeats.rows(_send_active(batches, b)), repeats.BLOBS)
+    # sets take more memory than the texts they come from; the screen keeps to fewer buckets, as each document is named in all of them
+    many = 2 * b + 1
+    again = sets.mapInArrow(lambda batches: repeats.rows(_send_active(batches, many)), repeats.BLOBS)
     candidates = common.components(again.groupBy("bucket").applyInArrow(_star, "u long, v long"))
     members = candidates.withColumnRenamed("node", "doc_id").join(classes.select("doc_id", "n_shingles").distinct(), "doc_id")
     totals = members.groupBy("label").agg(F.ceil(F.sum("n_shingles") / GROUP).cast("int").alias("parts"))
@@ -295,7 +295,7 @@ def linked_rows(own: DataFrame, b: int, percent: int = 80, n: int = 5) -> DataFr
     block = F.pmod(F.xxhash64("doc_id"), "parts")
     tasks = sets.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)))
     tasks = tasks.withColumn("task", F.xxhash64("label", F.least("block", "other"), F.greatest("block", "other")))
-    tasks = tasks.withColumn("bucket", F.when(F.col("parts") > 1, F.col("task")).otherwise(F.pmod(F.col("task"), F.lit(b))))
+    tasks = tasks.withColumn("bucket", F.when(F.col("parts") > 1, F.col("task")).otherwise(F.pmod(F.col("task"), F.lit(many))))
     links = tasks.select("bucket", "task", "doc_id", "shingles").groupBy("bucket").applyInArrow(lambda group: _verify(group, percent), "u long, v long")
     groups = common.components(links).withColumnRenamed("node", "first_id")
     kept = firsts.select("class", F.col("doc_id").alias("first_id"))

@@ -40,6 +40,17 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
+def upper(values: np.ndarray, size: int = 7) -> bytes:
+    """The upper ``size`` bytes of hashes of 64 bits."""
+    return np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(-1, 8)[:, 8 - size :].tobytes()
+
+
+def from_upper(blob: bytes, size: int = 7) -> np.ndarray:
+    wide = np.zeros((len(blob) // size, 8), np.uint8)
+    wide[:, 8 - size :] = np.frombuffer(blob, np.uint8).reshape(-1, size)
+    return wide.reshape(-1).view("<u8")
+
+
 def concat(blobs: list[bytes]) -> list[np.ndarray]:
     """The arrays of many blobs of one layout, each kind joined."""
     parts = [unpack(b) for b in blobs]
