@@ -35,14 +35,14 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves out documents that hold a window of a benchmark item."""
+    """Leaves out documents that hold a window of a benchmark item, each row by its own text. Null and empty texts hold none and stay; other columns may have any name."""
     own, _ = common.identified(docs, ROW)
     hits = decontaminate.hits(own.select(F.col(ROW).alias("doc_id"), "text"), common.table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(ROW)).distinct()
     return own.join(hits, ROW, "left_anti").select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids, and whether decoding gives the text back."""
+    """doc_id, token ids and the digest of the text that they decode to. A null text has no tokens and the digest of the empty text; other columns are let go."""
     found = bpe.encode_decode(docs, "byte_bpe_50k.json")
     ids = found.select("doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("text_sha256"))
     return ids

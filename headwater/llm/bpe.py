@@ -2,7 +2,7 @@
 
 Text is cut at added tokens, then by the pre-tokenizer's pattern; each piece is
 encoded on its own and kept in the worker's cache. A null text counts as empty and has no
-tokens. A byte sequence that isn't UTF-8 after decoding shows as U+FFFD, as in the library.
+tokens; repeated rows get equal results, and rows without a doc_id are rows like others. A byte sequence that isn't UTF-8 after decoding shows as U+FFFD, as in the library.
 """
 
 from __future__ import annotations

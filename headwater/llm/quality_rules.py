@@ -11,11 +11,18 @@ from pyspark.sql import functions as F
 
 #: Frequent function words of the languages of the corpus.
 STOP_WORDS = (
-    "a an and are as at be by for from he his in is it not of on or she that the they this to was were which with "
-    "aber als auf auch aus bei das dem den der des die ein eine einer er es für ich im ist mit nicht sich sie sind und von war wie wir zu zum "
-    "al como con de del el en es la las lo los más no para pero por que se su un una y "
-    "au aux avec ce ces dans des du elle en est et il la le les leur mais ne nous ou par pas pour qui sur un une vous"
-).split()
+    "a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "he", "his", "in", "is",
+    "it", "not", "of", "on", "or", "she", "that", "the", "they", "this", "to", "was", "were", "which",
+    "with",
+    "aber", "als", "auf", "auch", "aus", "bei", "das", "dem", "den", "der", "des", "die", "ein", "eine",
+    "einer", "er", "es", "für", "ich", "im", "ist", "mit", "nicht", "sich", "sie", "sind", "und", "von",
+    "war", "wie", "wir", "zu", "zum",
+    "al", "como", "con", "de", "del", "el", "en", "es", "la", "las", "lo", "los", "más", "no",
+    "para", "pero", "por", "que", "se", "su", "un", "una", "y",
+    "au", "aux", "avec", "ce", "ces", "dans", "des", "du", "elle", "en", "est", "et", "il", "la",
+    "le", "les", "leur", "mais", "ne", "nous", "ou", "par", "pas", "pour", "qui", "sur", "un", "une",
+    "vous",
+)
 
 _SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
@@ -58,7 +65,7 @@ def _repeated_words() -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """The columns of ``docs`` with a struct ``q`` of the counts, base_failed and kept."""
+    """A struct ``row`` of the columns of ``docs``, with the counts, base_failed and kept beside it, so that no names clash."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     bare = F.translate(text, " \t\n\x0b\x0c\r", "")
@@ -71,7 +78,7 @@ def measured(docs: DataFrame) -> DataFrame:
         (F.size("l") - F.size(F.array_distinct("l"))).cast("long").alias("n_dup_lines"),
         _repeated_words().cast("long").alias("n_repeat_words"),
         F.size("l").cast("long").alias("n_lines"),
-        F.size(F.filter("w", lambda x: F.rtrim(F.lower(x), F.lit(".,!?;:")).isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
+        F.size(F.filter("w", lambda x: F.rtrim(F.lower(x), F.lit(".,!?;:")).isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
         F.size(F.filter("l", lambda x: x.rlike(r"^[\x20\x09]*[-*\x{2022}]"))).cast("long").alias("n_bullets"),
         F.size(F.filter("l", lambda x: x.rlike(r"(\.\.\.|\x{2026})[\x20\x09\x0D]*$"))).cast("long").alias("n_open_ends"),
     )
@@ -92,7 +99,3 @@ def keep(docs: DataFrame) -> DataFrame:
     pushed into the projections below, with every count written out for each place that names it.
     """
     return measured(docs).select("row", F.explode(F.array("kept")).alias("verdict")).where("verdict").select("row.*")
-
-
-def rules_sql(rules=RULES) -> str:
-    return " AND ".join(f"({left} * 100 {sign} {right} * {bound})" for _, left, sign, bound, right in rules)

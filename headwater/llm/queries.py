@@ -105,10 +105,17 @@ r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM r JOIN l
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, m AS component_id FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS m FROM r GROUP BY x) USING (doc_id)
 """
 
+#: The function words, written out for the SQL alone.
+_STOPS = (
+    "'a', 'an', 'and', 'are', 'as', 'at', 'be', 'by', 'for', 'from', 'he', 'his', 'in', 'is', 'it', 'not', 'of', 'on', 'or', 'she', 'that', 'the', "
+    "'they', 'this', 'to', 'was', 'were', 'which', 'with', 'aber', 'als', 'auf', 'auch', 'aus', 'bei', 'das', 'dem', 'den', 'der', 'des', 'die', 'ein', 'eine', 'einer', "
+    "'er', 'es', 'für', 'ich', 'im', 'ist', 'mit', 'nicht', 'sich', 'sie', 'sind', 'und', 'von', 'war', 'wie', 'wir', 'zu', 'zum', 'al', 'como', 'con', 'de', "
+    "'del', 'el', 'en', 'la', 'las', 'lo', 'los', 'más', 'no', 'para', 'pero', 'por', 'que', 'se', 'su', 'un', 'una', 'y', 'au', 'aux', 'avec', 'ce', "
+    "'ces', 'dans', 'du', 'elle', 'est', 'et', 'il', 'le', 'les', 'leur', 'mais', 'ne', 'nous', 'ou', 'par', 'pas', 'pour', 'qui', 'sur', 'une', 'vous'"
+)
+
 
 def op10_sql(source: str = "documents") -> str:
-    stops = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
-    symbols = quality_rules.SYMBOLS
     return rf"""
 WITH a AS (SELECT *, coalesce(text, '') AS t FROM {source}),
 d AS (SELECT *, {_WORDS.format("t")} AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM a),
@@ -116,14 +123,14 @@ g AS (SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS s FROM (SELECT doc_i
 tw AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM g) WHERE n > 1),
 rw AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS p FROM tw) GROUP BY doc_id),
 c AS (SELECT d.*, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
- CAST(length(t) - length(translate(t, '{symbols}', '')) AS BIGINT) AS n_symbols,
+ CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
  CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rw.n, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines,
- len(list_filter(w, lambda x: rtrim(lower(x), '.,!?;:') IN ({stops}))) AS n_stop_words,
+ len(list_filter(w, lambda x: rtrim(lower(x), '.,!?;:') IN ({_STOPS}))) AS n_stop_words,
  len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09]*[-*\x{{2022}}]'))) AS n_bullets,
  len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|\x{{2026}})[\x20\x09\x0D]*$'))) AS n_open_ends
  FROM d LEFT JOIN rw USING (doc_id)),
 e AS (SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed FROM c)
-SELECT *, (NOT base_failed AND {quality_rules.rules_sql()}) AS kept FROM e
+SELECT *, (NOT base_failed AND word_chars * 100 >= n_words * 200 AND word_chars * 100 <= n_words * 1500 AND n_symbols * 100 <= n_words * 20 AND n_stop_words * 100 >= n_words * 4 AND n_dup_lines * 100 <= n_lines * 50 AND n_bullets * 100 <= n_lines * 90 AND n_open_ends * 100 <= n_lines * 50) AS kept FROM e
 """
 
 

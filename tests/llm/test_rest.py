@@ -167,10 +167,23 @@ def test_decontaminate_rows_by_their_texts(spark):
 def test_quality_counts(spark):
     rng = random.Random(6)
     texts = [*ODD, *[" ".join(rng.choice("abcdefgh#") for _ in range(rng.randrange(3, 90))).replace("c", "\n") for _ in range(60)]]
+    prose = lambda n: " ".join(rng.choice(["The", "of", "and", "el", "und"]) if rng.random() < 0.4 else f"word{rng.randrange(999)}" for _ in range(n))
+    texts += [prose(80), "\n".join("- " + prose(9) for _ in range(9)), "\n".join(prose(9) + " ..." for _ in range(9)), "\n".join([prose(9)] * 3 + [prose(60)]), prose(60) + " #*$%&|<>#*$%&", prose(49), prose(12) * 8, prose(70).replace("word", "longerlongerlongerword")]
+    kept: list[bool] = []
     for r in quality_rules.quality_rules(frame(spark, texts)).collect():
         t = texts[r.doc_id] or ""
         w = [x.decode() for x in WORDS.findall(t.encode())]
         g = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
         again = {p for i, x in enumerate(g) if g.count(x) > 1 for p in range(i, i + 3)}
         lines = [x for x in t.split("\n") if WORDS.search(x.encode())]
+        low = [x.lower().rstrip(".,!?;:") for x in w]
+        stops = sum(x in quality_rules.STOP_WORDS for x in low)
+        bullets = sum(bool(re.match("[ \t]*[-*\u2022]", x)) for x in lines)
+        ends = sum(bool(re.search("(\\.\\.\\.|\u2026)[ \t\r]*$", x)) for x in lines)
+        symbols, repeats = sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines))
+        failed = len(w) < 50 or 100 * len(again) > 50 * len(w)
+        fits = 2 * len(w) <= sum(map(len, w)) <= 15 * len(w) and 5 * symbols <= len(w) and 25 * stops >= len(w) and 2 * repeats <= len(lines) and 10 * bullets <= 9 * len(lines) and 2 * ends <= len(lines)
+        assert (r.base_failed, r.kept) == (failed, not failed and fits)
+        kept.append(r.kept)
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(again))
+    assert 0 < sum(kept) < len(kept)
