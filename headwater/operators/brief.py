@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from headwater.functions import text, urls
 from headwater.functions.wording import BRIEF
+from headwater.session import settled
 
 KINDS = ("tool", "policy", "other")
 
@@ -27,6 +28,8 @@ def prepared(groups: DataFrame, domains: DataFrame, day: str = "kst_date") -> Da
     clean = F.filter(F.transform("urls", text.clean_prose), lambda u: u != "")
     kind = F.lower(text.clean_prose(F.col("kind")))
     rows = groups.select(day, "group_id", text.sentence(F.col("headline")).alias("headline"), F.when(kind.isin(*KINDS), kind).otherwise("other").alias("kind"), clean.alias("urls")).where((F.col("headline") != "") | (F.size("urls") > 0))
+    # written once, as both sides of the join below come from it
+    rows = settled(rows)
     each = rows.select(day, "group_id", F.posexplode("urls").alias("at", "url")).join(domains, "url", "left")
     outlet = F.coalesce(F.lower("domain"), urls.outlet(F.when(F.instr("url", "//") > 0, F.col("url")).otherwise(F.concat(F.lit("//"), "url"))))
     own = each.select(day, "group_id", "at", outlet.alias("domain")).where("domain <> ''").groupBy(day, "group_id").agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("at", "domain"))), lambda x: x["domain"])).alias("domains"))
