@@ -6,8 +6,8 @@ clustering assigns every training word to a class by the likelihood of class big
 1. On the driver, words take turns over sweeps: the ``top`` most frequent ones, and stand-ins for all
    others, which are pooled by their ending. The bigrams of these types are bounded by the parameters.
 2. Distributed, each other word leaves its stand-in: from its own neighbours' classes, gathered over all
-   training documents, it moves to the class that raises the likelihood most. All words move at once,
-   against the class bigrams of part 1. The word's class and count stay distributed, dealt by the word's hash.
+   training documents, it moves to the class that raises the likelihood most, if by more than naming a class costs;
+   words that hardly occur would follow chance otherwise. All words move at once, against the class bigrams of part 1. The word's class and count stay distributed, dealt by the word's hash.
 
 Transitions are then counted anew over all training documents with the final classes of all words. Texts
 are scored by dealing the words outside the broadcast table to their hash buckets and their classes back to the texts.
@@ -42,6 +42,8 @@ TOP, ENDINGS, CLASSES, SWEEPS = 2048, 512, 48, 5
 HELD = 2_000_000
 #: Cells of contexts that are valued at a time.
 CELLS = 1 << 16
+#: What it takes to name a word's class, in units of the logarithm of the number of classes.
+MARGIN = 1.0
 #: Class of a token whose word is looked up elsewhere.
 OPEN = 255
 END = np.frombuffer(xxhash.xxh3_128_digest(b"\n"), "<u8")[0]
@@ -271,12 +273,13 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, x * np.log(np.maximum(x, 1e-9)), 0.0)
 
 
-def best_classes(word: np.ndarray, cell: np.ndarray, times: np.ndarray, start: np.ndarray, total: np.ndarray, joint: np.ndarray) -> np.ndarray:
+def best_classes(word: np.ndarray, cell: np.ndarray, times: np.ndarray, start: np.ndarray, total: np.ndarray, joint: np.ndarray, margin: float = 0.0) -> np.ndarray:
     """The class of each word after one exchange step against the class bigrams ``joint``.
 
     Cells are sorted by word: a class after (cell below the number of classes) or before the word, and how often. ``start`` and
     ``total`` are the words' classes and counts. Only the word's own cells change, so nothing else is valued;
-    staying is valued as the loss by leaving. Class 0 is the end token's.
+    staying is valued as the loss by leaving. A move has to gain over ``margin`` nats, what it costs to tell the class of
+    a word that departs from its stand-in's. Class 0 is the end token's.
     """
     k = len(joint)
     both = np.concatenate((joint.T, joint))
@@ -298,10 +301,10 @@ def best_classes(word: np.ndarray, cell: np.ndarray, times: np.ndarray, start: n
         was, n = start[own], total[own].astype(float)
         here = both[c, start[word[a:b]]]
         stay = np.add.reduceat(_xlogx(here) - _xlogx(here - r), first[i:j] - a)
-        for margin in (out, into):
-            gain -= (_xlogx(margin[None] + n[:, None]) - _xlogx(margin)[None]).astype(np.float32)
-            stay -= _xlogx(margin[was]) - _xlogx(margin[was] - n)
-        gain[np.arange(len(own)), was] = stay
+        for side in (out, into):
+            gain -= (_xlogx(side[None] + n[:, None]) - _xlogx(side)[None]).astype(np.float32)
+            stay -= _xlogx(side[was]) - _xlogx(side[was] - n)
+        gain[np.arange(len(own)), was] = stay + margin
         gain[:, 0] = -np.inf
         best[own] = np.argmax(gain, 1)
         i = j
@@ -327,7 +330,7 @@ def _assigned(own: pa.Table, found: pa.Table, shared) -> pa.Table:
         key, times = key[order], times[order].astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         key, times = key[first], np.add.reduceat(times, first)
-        cls = best_classes(key >> 8, key & 255, times, cls, c.astype(np.int64), m["joint"])
+        cls = best_classes(key >> 8, key & 255, times, cls, c.astype(np.int64), m["joint"], MARGIN * np.log(m["classes"]))
     sums = [np.bincount(cls, w, m["classes"]).astype(np.int64) for w in (c, None)]
     row = [[bucket], [packing.pack(h, c, cls.astype(np.uint8), raw=(0,))], [packing.pack(*sums)]]
     return pa.table([pa.array(x, t) for x, t in zip(row, (pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "words", "sums"])
