@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headwater.llm import bpe, class_lm, decontaminate, jaccard_join, quality_rules, sharding, substring_dedup, suffix_dedup, token_counts, warc
+from headwater.llm import bpe, class_lm, collocations, decontaminate, jaccard_join, periodic_runs, quality_rules, sharding, simhash, substring_dedup, suffix_dedup, token_counts, warc
 from headwater.llm.common import table
 
 
@@ -55,6 +55,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), max_n=3, least=10, percent=50, top=2000)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(periodic_runs.echoed(table(spark, sf_dir, "documents")), least=12)
+    return found.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"), radius=2, n=3)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -62,7 +75,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    own = [op1_suffix_dedup, op2_class_lm, op3_bpe, op4_decontaminate, op5_substring_dedup, op6_ngram_jaccard_join, op7_sharding, op8_token_counts, op9_warc, op10_quality_rules, pipeline]
+    own = [op1_suffix_dedup, op2_class_lm, op3_bpe, op4_decontaminate, op5_substring_dedup, op6_ngram_jaccard_join, op7_sharding, op8_token_counts, op9_warc, op10_quality_rules, op11_collocations, op12_periodic_runs, op13_simhash, pipeline]
     return {f.__name__: f for f in own}
 
 
@@ -137,5 +150,40 @@ SELECT *, (NOT base_failed AND word_chars * 100 >= n_words * 200 AND word_chars
 OP10_SQL = f"SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM ({op10_sql()})"
 
 
+OP11_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, 'und') AS lang, regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]') AS ps FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(ps), '[^\x20\x09]+') AS w FROM d),
+g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS s FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (VALUES (1), (2), (3)) v(m) WHERE len(w) >= m)),
+f AS (SELECT lang, m, s, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, s, string_split(s, ' ') AS w, f AS a FROM f WHERE m > 1 AND f >= 10),
+k AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+x AS (SELECT k.lang, k.s, k.m, k.a, k, l.f AS l, r.f AS r, CAST((1000000 * k.a::HUGEINT * k.a::HUGEINT) // (l.f::HUGEINT * r.f::HUGEINT) AS BIGINT) AS score FROM k JOIN f l ON l.lang = k.lang AND l.s = array_to_string(w[1:k], ' ') JOIN f r ON r.lang = k.lang AND r.s = array_to_string(w[k + 1:], ' ')),
+b AS (SELECT lang, s, m, a, l, r, score FROM (SELECT *, row_number() OVER (PARTITION BY lang, s ORDER BY score, k) AS o FROM x) WHERE o = 1),
+e AS (SELECT lang, unnest([array_to_string(w[1:m - 1], ' '), array_to_string(w[2:m], ' ')]) AS s, a FROM c WHERE m = 3),
+q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, s) AS rank FROM b WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.lang = b.lang AND e.s = b.s AND 100 * e.a >= 50 * b.a))
+SELECT lang, rank, s AS phrase, a, l, r, n, score FROM q JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+#: CRC-32 of the decimal id, bit by bit (fixed value: the polynomial).
+_CRC = "xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), i -> CAST(ascii(CAST(doc_id AS VARCHAR)[i]) AS BIGINT)), (c, b) -> list_reduce([xor(c, b)] || range(8), (v, z) -> xor(v >> 1, 3988292384::BIGINT * (v & 1)))), 4294967295::BIGINT)"
+
+OP12_SQL = rf"""
+WITH h AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS o, {_CRC} AS h FROM documents),
+g AS (SELECT doc_id, o, CASE WHEN h % 10 = 0 AND len(o) > 0 THEN (h // 10) % len(o) END AS a, (h // 10) % 8 AS g8 FROM h),
+d AS (SELECT doc_id, CASE WHEN a IS NULL THEN o ELSE list_transform(range(0, len(o)), i -> o[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(o) - a) // (3 + g8)) END]) END AS w FROM g),
+v AS (SELECT doc_id, len(w) AS n, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM d),
+e AS (SELECT a.doc_id, b.i - a.i AS p, a.i FROM v a JOIN v b ON a.doc_id = b.doc_id AND a.x = b.x AND b.i > a.i WHERE b.i - a.i <= a.n // 2),
+s AS (SELECT doc_id, p, min(i) AS start, count(*) + p AS length FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS k FROM e) GROUP BY doc_id, p, k HAVING count(*) >= p AND count(*) + p >= 12),
+r AS (SELECT doc_id, start, length, min(p) AS period FROM s GROUP BY doc_id, start, length),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) AS o FROM r) WHERE o = 1),
+t AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS l FROM r GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+y AS (SELECT v.doc_id, string_agg(x, ' ' ORDER BY v.i) AS kept FROM v ANTI JOIN gone ON gone.doc_id = v.doc_id AND gone.i = v.i GROUP BY v.doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli, sha256(coalesce(l, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN best USING (doc_id) LEFT JOIN t USING (doc_id) LEFT JOIN y USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontaminate": OP4_SQL, "op5_substring_dedup": OP5_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op10_quality_rules": OP10_SQL}
+    return {"op4_decontaminate": OP4_SQL, "op5_substring_dedup": OP5_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op10_quality_rules": OP10_SQL, "op11_collocations": OP11_SQL, "op12_periodic_runs": OP12_SQL}
