@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from headwater.llm import common
 from headwater.llm.textarrays import Words, chunks
 
-CHUNK = 16 << 20
+CHUNK = 4 << 20
 #: Bits of the largest bitmap that is broadcast (64 MB), and bits for each phrase in it while it is smaller.
 BITS, BITS_EACH = 1 << 29, 16
 #: Languages of null.

@@ -154,11 +154,12 @@ OP11_SQL = rf"""
 WITH d AS (SELECT doc_id, coalesce(lang, 'und') AS lang, regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]') AS ps FROM documents),
 p AS (SELECT lang, regexp_extract_all(unnest(ps), '[^\x20\x09]+') AS w FROM d),
 g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS s FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (VALUES (1), (2), (3)) v(m) WHERE len(w) >= m)),
-f AS (SELECT lang, m, s, count(*) AS f FROM g GROUP BY ALL),
+f AS MATERIALIZED (SELECT lang, m, s, count(*) AS f FROM g GROUP BY ALL),
 n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
 c AS (SELECT lang, m, s, string_split(s, ' ') AS w, f AS a FROM f WHERE m > 1 AND f >= 10),
-k AS (SELECT *, unnest(range(1, m)) AS k FROM c),
-x AS (SELECT k.lang, k.s, k.m, k.a, k, l.f AS l, r.f AS r, CAST((1000000 * k.a::HUGEINT * k.a::HUGEINT) // (l.f::HUGEINT * r.f::HUGEINT) AS BIGINT) AS score FROM k JOIN f l ON l.lang = k.lang AND l.s = array_to_string(w[1:k], ' ') JOIN f r ON r.lang = k.lang AND r.s = array_to_string(w[k + 1:], ' ')),
+v AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+k AS MATERIALIZED (SELECT lang, s, m, a, k, array_to_string(w[1:k], ' ') AS p, array_to_string(w[k + 1:m], ' ') AS q FROM v),
+x AS (SELECT k.lang, k.s, k.m, k.a, k, l.f AS l, r.f AS r, CAST((1000000 * k.a::HUGEINT * k.a::HUGEINT) // (l.f::HUGEINT * r.f::HUGEINT) AS BIGINT) AS score FROM k JOIN f l ON l.lang = k.lang AND l.s = k.p JOIN f r ON r.lang = k.lang AND r.s = k.q),
 b AS (SELECT lang, s, m, a, l, r, score FROM (SELECT *, row_number() OVER (PARTITION BY lang, s ORDER BY score, k) AS o FROM x) WHERE o = 1),
 e AS (SELECT lang, unnest([array_to_string(w[1:m - 1], ' '), array_to_string(w[2:m], ' ')]) AS s, a FROM c WHERE m = 3),
 q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, s) AS rank FROM b WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.lang = b.lang AND e.s = b.s AND 100 * e.a >= 50 * b.a))
