@@ -167,12 +167,12 @@ SELECT lang, rank, s AS phrase, a, l, r, n, score FROM q JOIN n USING (lang) WHE
 """
 
 #: CRC-32 of the decimal id, bit by bit (fixed value: the polynomial).
-_CRC = "xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), i -> CAST(ascii(CAST(doc_id AS VARCHAR)[i]) AS BIGINT)), (c, b) -> list_reduce([xor(c, b)] || range(8), (v, z) -> xor(v >> 1, 3988292384::BIGINT * (v & 1)))), 4294967295::BIGINT)"
+_CRC = "xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ascii(CAST(doc_id AS VARCHAR)[i]) AS BIGINT)), lambda c, b: list_reduce([xor(c, b)] || range(8), lambda v, z: xor(v >> 1, 3988292384::BIGINT * (v & 1)))), 4294967295::BIGINT)"
 
 OP12_SQL = rf"""
 WITH h AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS o, {_CRC} AS h FROM documents),
 g AS (SELECT doc_id, o, CASE WHEN h % 10 = 0 AND len(o) > 0 THEN (h // 10) % len(o) END AS a, (h // 10) % 8 AS g8 FROM h),
-d AS (SELECT doc_id, CASE WHEN a IS NULL THEN o ELSE list_transform(range(0, len(o)), i -> o[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(o) - a) // (3 + g8)) END]) END AS w FROM g),
+d AS (SELECT doc_id, CASE WHEN a IS NULL THEN o ELSE list_transform(range(0, len(o)), lambda i: o[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(o) - a) // (3 + g8)) END]) END AS w FROM g),
 v AS (SELECT doc_id, len(w) AS n, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM d),
 e AS (SELECT a.doc_id, b.i - a.i AS p, a.i FROM v a JOIN v b ON a.doc_id = b.doc_id AND a.x = b.x AND b.i > a.i WHERE b.i - a.i <= a.n // 2),
 s AS (SELECT doc_id, p, min(i) AS start, count(*) + p AS length FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS k FROM e) GROUP BY doc_id, p, k HAVING count(*) >= p AND count(*) + p >= 12),
