@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from headwater import settings
 from headwater.functions import timewin, urls
-from headwater.operators import brief, decisions, grouping, load, quality, report, series
+from headwater.operators import brief, grouping, judging, load, quality, report, series
 from headwater.session import session, settled
 from headwater.sinks import messages
+from headwater.sinks.versions import DayTables
 from headwater.sources import articles as src
 
 DONE, FAILED, WRONG = 0, 1, 2
@@ -38,6 +39,14 @@ class Project:
             raise FileNotFoundError("nothing is stored yet; collect a day first")
         return found.withColumn("seen_ts", F.to_timestamp("seendate", "yyyyMMdd'T'HHmmss'Z'").cast("timestamp_ntz"))
 
+    def judged(self) -> DayTables:
+        return judging.tables(self.spark, "file://" + self.path("decisions"))
+
+    def since(self):
+        """The first day that counts in means, if the settings name one."""
+        found = str(settings.setting(self.config, "source_since", "") or "").strip()
+        return F.lit(date.fromisoformat(found)) if found else None
+
     def of_day(self, day: date) -> DataFrame:
         own = self.stored().where(F.col("kst_date") == F.lit(day)).withColumn("pos", F.lit(0))
         return grouping.in_store_order(own)
@@ -62,8 +71,7 @@ def checks(project: Project, day: date, articles: DataFrame, metrics: DataFrame
     found = quality.collected(articles, F.lit(day), none if metrics is not None else None, metrics)
     if everything:
         stored = project.stored()
-        judged = load.stored(project.spark, "file://" + project.path("decisions"))
-        own = project.spark.createDataFrame([], "verdict string") if judged is None else judged.where(F.col("kst_date") == F.lit(day))
+        own = project.judged().read("decisions", day, day)
         found = found.unionByName(quality.loaded(articles, project.of_day(day), series.daily_counts(stored), own, F.lit(day)))
     found = settled(found)
     for r in quality.table_lines(found).orderBy("place").collect():
@@ -77,25 +85,25 @@ def store(project: Project, day: date, rows: DataFrame) -> None:
     print(json.dumps(told.first().asDict()))
 
 
-def judge(project: Project, day: date, backend: str | None, force: bool) -> None:
+def judge(project: Project, day: date, backend: str | None, force: bool, answers: str | None = None) -> None:
+    """Judges a day if it has to be. Answers of a model are files ``<day>.json`` or ``.txt`` in the folder ``answers``; a day without one goes to the rules."""
     wanted = backend or settings.setting(project.config, "judge.backend", "rules")
-    state = decisions.judged_days(project.spark, settled(project.of_day(day)), "file://" + project.path("decisions"), project.words["interest"], project.words["exclude"], wanted, force)
+    words = judging.Words(**project.words, threshold=float(project.config["judge"]["similarity_threshold"]))
+    landed = None
+    if answers and list(Path(answers).glob("*.*")):
+        bodies = project.spark.read.text(f"file://{Path(answers).resolve()}", wholetext=True)
+        landed = bodies.select(F.to_date(F.regexp_extract(F.input_file_name(), r"(\d{4}-\d{2}-\d{2})\.\w+$", 1)).alias("kst_date"), F.col("value").alias("body")).where("kst_date is not null")
+    state = judging.judge_days(project.judged(), settled(project.of_day(day)), [day], words, wanted, landed, force)
+    told = project.judged().read("runs", day, day).first()
     for r in state.collect():
-        print(f"{r.kst_date}: " + ("reused" if r.reused else f"decided ({r.reason})"))
-
-
-def groups_of(project: Project, first: date, last: date) -> DataFrame:
-    """Groups of the stored decisions of some days."""
-    kept = load.stored(project.spark, "file://" + project.path("decisions")).where("verdict = 'kept'").select("kst_date", "url", "verdict")
-    rows = project.stored().where(F.col("kst_date").between(F.lit(first), F.lit(last))).withColumn("pos", F.lit(0)).join(kept, ["kst_date", "url"])
-    return grouping.shaped_groups(settled(decisions.kept_titles(rows, project.words["stopwords"])), project.words["regulation"], project.words["tool"], float(project.config["judge"]["similarity_threshold"]))
+        print(f"{r.kst_date}: " + ("reused" if r.reused else f"decided ({r.reason})") + f", by {told.backend}" + (f": {told.fallback_reason}" if told.fallback_reason else ""))
 
 
 def make_brief(project: Project, day: date) -> dict:
     own = project.config["brief"]
-    groups = groups_of(project, day, day).withColumn("group_id", F.col("place"))
+    groups = judging.stored_groups(project.judged(), day, day)
     p = settled(brief.prepared(groups, brief.domain_map(project.of_day(day).select("url", "domain"))))
-    stats = series.daily_stats(settled(project.stored()), settings.watch_keywords(project.config) or project.words["interest"], own["average_window_days"], own["average_min_days"], own["first_seen_lookback_days"]).where(F.col("kst_date") == F.lit(day)).first()
+    stats = series.daily_stats(settled(project.stored()), settings.watch_keywords(project.config) or project.words["interest"], own["average_window_days"], own["average_min_days"], own["first_seen_lookback_days"], project.since()).where(F.col("kst_date") == F.lit(day)).first()
     told = brief.notes(p, own["max_groups"], own["min_groups"]).first()
     label = f"{day.isoformat()} {brief.text.WEEKDAYS[day.weekday()]}"
     out = brief.build(label, [r.asDict() for r in brief.sections(p, own["max_groups"]).collect()], {**(stats.asDict() if stats else {"article_count": 0}), "lookback": own["first_seen_lookback_days"]}, told.asDict() if told else None, project.config["query"], own["max_keywords"], own["min_groups"])
@@ -106,13 +114,15 @@ def make_brief(project: Project, day: date) -> dict:
 def make_report(project: Project, day: date, force: bool) -> int:
     start = timewin.week_start(day)
     days = report.week_days(start)
-    decided = load.stored(project.spark, "file://" + project.path("decisions"))
-    if decided is None:
+    if not project.judged().days():
         raise FileNotFoundError("nothing is decided yet")
-    held = settled(decided.where(F.col("kst_date").between(F.lit(start - timedelta(days=7)), F.lit(days[-1]))).select("kst_date", "url", "verdict"))
-    volume = report.weekly_volume(held).where(F.col("week") == F.lit(start)).first()
+    held = settled(project.judged().read("decisions", start - timedelta(days=7), days[-1]).select("kst_date", "url", "verdict"))
+    names = [e["name"] for e in report.keyword_entries(project.config["keywords"])]
+    before = project.stored().where(F.col("kst_date").between(F.lit(start - timedelta(days=7)), F.lit(start - timedelta(days=1))))
+    counted = report.counted_weeks(series.keyword_days(before, names)) if names else None
+    volume = report.weekly_volume(held, counted).where(F.col("week") == F.lit(start)).first()
     rows = [r.asDict() for r in report.week_rows(project.stored(), report.keyword_entries(project.config["keywords"]), start, project.config["report"]["top_keywords"]).collect()]
-    merged = report.merge_headlines(groups_of(project, start, days[-1]).where("kind <> 'other'").withColumn("week", F.lit(start)).withColumn("group_id", F.col("place")))
+    merged = report.merge_headlines(judging.stored_groups(project.judged(), start, days[-1]).where("kind <> 'other'").withColumn("week", F.lit(start)))
     lines: dict[str, list[str]] = {}
     for r in report.group_lines(merged).orderBy("kind", "line_no").collect():
         lines.setdefault(r.kind, []).append(r.line)
@@ -136,6 +146,7 @@ def parser() -> argparse.ArgumentParser:
     common.add_argument("--dry-run", action=argparse.BooleanOptionalAction, default=None)
     common.add_argument("--root", default=".")
     common.add_argument("--fixtures", help="folder of captured lists, gdelt_<day>.json", default="fixtures")
+    common.add_argument("--answers", help="folder of a model's answers, <day>.json")
     common.add_argument("--force", action="store_true")
     out = argparse.ArgumentParser(prog="headwater")
     commands = out.add_subparsers(dest="command", required=True)
@@ -167,7 +178,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             store(project, day, rows)
             if args.command == "collect":
                 return DONE
-        judge(project, day, args.backend, args.force)
+        judge(project, day, args.backend, args.force, args.answers)
         if args.command == "run" and checks(project, day, rows, metrics, True) == FAILED:
             return FAILED
         out = make_brief(project, day)

@@ -2,42 +2,79 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import json
+import re
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headwater.functions import keywords, text
-from headwater.operators import grouping, load
+from headwater.operators import grouping
 from headwater.session import settled
 
 KINDS = ("tool", "policy", "other")
 #: Both names of each field of an answer, and what is said where it gives no reason.
-ANSWER = "`판단` array<struct<`번호`:string,index:string,`채택`:string,keep:string,`이유`:string,reason:string>>, decisions array<struct<`번호`:string,index:string,`채택`:string,keep:string,`이유`:string,reason:string>>, `묶음` array<struct<`번호들`:array<string>,indexes:array<string>,`종류`:string,kind:string,`제목`:string,headline:string>>, groups array<struct<`번호들`:array<string>,indexes:array<string>,`종류`:string,kind:string,`제목`:string,headline:string>>"
+NAMES = {"decisions": ("판단", "decisions"), "index": ("번호", "index"), "keep": ("채택", "keep"), "reason": ("이유", "reason"), "groups": ("묶음", "groups"), "indexes": ("번호들", "indexes"), "kind": ("종류", "kind"), "headline": ("제목", "headline")}
 REASONS = {"kept": "모델이 AI 소식으로 봤다", "dropped": "모델이 AI 소식이 아니라고 봤다", "unsaid": "모델이 따로 언급하지 않아 뺐다"}
 
 
-def _first(*columns: Column) -> Column:
-    return F.coalesce(*[F.nullif(text.strip(c), F.lit("")) for c in columns])
+def _json(body: str):
+    """The JSON value that a body is as a whole, maybe fenced, or else from its first brace to its last; None if neither is one."""
+    body = body.strip()
+    if body.startswith("```"):
+        body = re.sub(r"\s*```$", "", re.sub(r"^```[a-zA-Z]*\s*", "", body))
+    first, last = body.find("{"), body.rfind("}")
+    for part in (body, body[first : last + 1] if 0 <= first < last else ""):
+        try:
+            return json.loads(part)
+        except ValueError:
+            continue
+    return None
+
+
+def _number(value) -> int | None:
+    try:
+        found = int(value)
+    except (TypeError, ValueError, OverflowError):
+        return None
+    return found if abs(found) < 2**31 else None
+
+
+def _read(body: str | None) -> dict | None:
+    """One answer's decisions and groups, or None if it has no list of decisions."""
+    found = _json(body or "")
+    if not isinstance(found, dict):
+        return None
+    # the first name that holds something counts; for numbers and verdicts, the first that is there at all
+    some = lambda item, field: item.get(NAMES[field][0]) or item.get(NAMES[field][1])
+    there = lambda item, field: item.get(NAMES[field][0], item.get(NAMES[field][1]))
+    listed = lambda x: [y for y in x if isinstance(y, dict)] if isinstance(x, list) else []
+    decisions = [{"n": _number(there(x, "index")), "keep": bool(there(x, "keep")), "why": str(some(x, "reason") or "").strip()} for x in listed(some(found, "decisions"))]
+    groups = []
+    for x in listed(some(found, "groups")):
+        ns = some(x, "indexes")
+        groups.append({"ns": [_number(i) for i in ns] if isinstance(ns, list) else [], "kind": str(some(x, "kind") or "").strip().lower(), "headline": str(some(x, "headline") or "")})
+    return {"decisions": decisions, "groups": groups} if decisions else None
 
 
-def _index(c: Column) -> Column:
-    return F.when(text.strip(c).rlike(r"^[+-]?\d+$"), text.strip(c).try_cast("int"))
+READ = "decisions array<struct<n:int,keep:boolean,why:string>>, groups array<struct<ns:array<int>,kind:string,headline:string>>"
 
 
-def _told(c: Column) -> Column:
-    """Whether a JSON value counts as true."""
-    return F.coalesce(~F.lower(text.strip(c)).isin("", "false", "0", "0.0", "null", "[]", "{}"), F.lit(False))
+def _read_bodies(bodies: pd.Series) -> pd.DataFrame:
+    read = [_read(b) or {"decisions": None, "groups": None} for b in bodies]
+    return pd.DataFrame({k: pd.Series([r[k] for r in read], dtype=object) for k in ("decisions", "groups")})
 
 
 def read_answers(answers: DataFrame, day: str = "kst_date") -> DataFrame:
-    """day, decisions and groups from rows of day and body; both null where the body holds no object with decisions.
+    """day, decisions (n, keep, why), groups (ns, kind, headline) and whether there is any decision, from rows of day and body.
 
-    Text around the outermost braces is let go.
+    A body is JSON as a whole, maybe fenced, or else from its first brace to its last; anything else isn't usable. Of each field
+    one of two names counts. Entries of lists that aren't objects are passed over; a number that can't be read is null. There is an answer
+    a day, so few rows; they go through Arrow to Python's own JSON reader, whose rules for numbers and truth values are wanted.
     """
-    found = F.from_json(F.regexp_extract("body", r"(?s)\{.*\}", 0), ANSWER, {"allowUnquotedControlChars": "true"})
-    read = answers.select(day, found.alias("a"))
-    some = lambda name, other: F.when(F.size(f"a.{name}") > 0, F.col(f"a.{name}")).otherwise(F.col(f"a.{other}"))
-    out = read.select(day, some("판단", "decisions").alias("decisions"), some("묶음", "groups").alias("groups"))
-    return out.withColumn("usable", F.coalesce(F.size("decisions") > 0, F.lit(False)))
+    read = answers.select(day, F.pandas_udf(_read_bodies, READ)("body").alias("a"))
+    return read.select(day, "a.decisions", "a.groups", F.coalesce(F.size("a.decisions") > 0, F.lit(False)).alias("usable"))
 
 
 def model_verdicts(answers: DataFrame, candidates: DataFrame, day: str = "kst_date") -> DataFrame:
@@ -48,7 +85,7 @@ def model_verdicts(answers: DataFrame, candidates: DataFrame, day: str = "kst_da
     """
     read = read_answers(answers, day).where("usable")
     lines = read.select(day, F.posexplode("decisions").alias("at", "d"))
-    said = lines.select(day, _index(F.coalesce("d.번호", "d.index")).alias("n"), "at", _told(F.coalesce("d.채택", "d.keep")).alias("keep"), _first(F.col("d.이유"), F.col("d.reason")).alias("why"))
+    said = lines.select(day, "d.n", "at", "d.keep", F.nullif("d.why", F.lit("")).alias("why"))
     last = said.where("n is not null").groupBy(day, "n").agg(F.max_by(F.struct("keep", "why"), "at").alias("s"))
     rows = candidates.join(last, [day, "n"], "left")
     # an answer that speaks of no candidate at all is of no use either
@@ -66,8 +103,7 @@ def model_groups(answers: DataFrame, verdicts: DataFrame, regulation: list[str],
     """
     kept = settled(verdicts.where("verdict = 'kept'"))
     groups = read_answers(answers, day).where("usable").select(day, F.posexplode("groups").alias("g", "x"))
-    named = groups.select(day, "g", F.col("x").alias("x"), F.posexplode(F.coalesce("x.번호들", "x.indexes")).alias("at", "i"))
-    named = named.select(day, "g", "at", _index(F.col("i")).alias("n"), F.lower(F.coalesce(_first(F.col("x.종류"), F.col("x.kind")), F.lit(""))).alias("kind"), text.clean_prose(_first(F.col("x.제목"), F.col("x.headline"))).alias("headline"))
+    named = groups.select(day, "g", "x.kind", text.clean_prose(F.col("x.headline")).alias("headline"), F.posexplode("x.ns").alias("at", "n"))
     own = named.groupBy(day, "n").agg(F.min(F.struct("g", "at", "kind", "headline")).alias("s")).select(day, "n", "s.*").join(kept, [day, "n"])
     rows = own.withColumns({"reg": keywords.hits(F.col("title"), regulation), "tools": keywords.hits(F.col("title"), tool)})
     outlets = F.count_distinct(F.nullif("domain", F.lit("")))
@@ -110,7 +146,7 @@ def reuse(stored: DataFrame, handled: DataFrame, wanted: str = "rules", force: b
     """For each day of ``handled`` (day, url) whether the stored decisions (day, url, backend) still hold, and if not why.
 
     They hold if the backend asked for is the same and so are the links, each as often: ``reason`` is forced, none (nothing stored), backend,
-    count, links or empty. Both sides are counted by link first, so no day is gathered in a task.
+    count or links, or an empty text where they hold. Days without a row in ``handled`` have no row here; ``judging.states`` has them. Both sides are counted by link first, so no day is gathered in a task.
     """
     a = stored.groupBy(day, F.coalesce("url", F.lit("")).alias("url")).agg(F.count("*").alias("n_stored"), F.max(F.lower(text.strip(F.col("backend")))).alias("backend"))
     b = handled.groupBy(day, text.strip(F.col("url")).alias("url")).agg(F.count("*").alias("n_handled"))
@@ -120,22 +156,6 @@ def reuse(stored: DataFrame, handled: DataFrame, wanted: str = "rules", force: b
     return days.select(day, "n_stored", "n_handled", reason.alias("reason")).withColumn("reused", F.col("reason") == "")
 
 
-def judged_days(spark: SparkSession, articles: DataFrame, path: str, interest: list[str], exclude: list[str], wanted: str = "rules", force: bool = False) -> DataFrame:
-    """Decides the days of ``articles`` that need it, replaces those days at ``path``, and returns the table of reuse.
-
-    Days whose decisions hold aren't touched.
-    """
-    stored = load.stored(spark, path)
-    if stored is None:
-        stored = spark.createDataFrame([], "kst_date date, url string, backend string")
-    # written before the table changes that it is read from; a cached table would be computed again after the change
-    state = settled(reuse(stored.select("kst_date", "url", "backend"), articles.select("kst_date", "url"), wanted, force))
-    again = articles.join(state.where("not reused").select("kst_date"), "kst_date", "left_semi")
-    decided = load.positioned(grouping.classify(again, interest, exclude)).select("kst_date", "url", "reason", "verdict", "position", F.lit(wanted).alias("backend"))
-    load.save_decisions(spark, decided, path)
-    return state
-
-
 def kept_titles(decided: DataFrame, stopwords: list[str] = ()) -> DataFrame:
     """Kept articles in store order, with tokens: what the rules group."""
     return grouping.in_store_order(decided.where("verdict = 'kept'")).withColumn("tokens", text.tokens(F.col("title"), stopwords))

@@ -73,11 +73,6 @@ def runs_of_day(log: DataFrame, day: Column) -> DataFrame:
     return log.where(F.col("kst_date") == day).withColumn("run", F.row_number().over(order))
 
 
-def save_decisions(spark: SparkSession, decisions: DataFrame, path: str) -> None:
-    """Replaces the days that ``decisions`` has, and no other."""
-    decisions.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("kst_date").parquet(path)
-
-
 def positioned(decisions: DataFrame) -> DataFrame:
     """Positions from 0 in a day: kept rows first, dropped ones go on."""
     w = Window.partitionBy("kst_date").orderBy(F.col("verdict") != "kept", "pos")

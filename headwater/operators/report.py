@@ -47,13 +47,25 @@ def kept_links(decisions: DataFrame) -> DataFrame:
     return decisions.where("verdict = 'kept'").groupBy(F.to_date(F.date_trunc("WEEK", "kst_date")).alias("week")).agg(F.count_distinct("url").alias("n_kept"))
 
 
-def weekly_volume(decisions: DataFrame) -> DataFrame:
-    """Kept links of each week against the week before. ``last_kept`` is null, not 0, where the week before has no decisions at all."""
+def weekly_volume(decisions: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """Kept links of each week against the week before, and the difference.
+
+    ``counted`` has a row (week) for each week in which some keyword was counted. ``last_kept`` is null only where the week before has
+    neither decisions nor a counted keyword; with keywords alone it is 0.
+    """
     weeks = decisions.groupBy(F.to_date(F.date_trunc("WEEK", "kst_date")).alias("week")).agg(F.count_distinct(F.when(F.col("verdict") == "kept", F.col("url"))).alias("n_kept"))
     before = weeks.select(F.date_add("week", 7).alias("week"), F.col("n_kept").alias("last_kept"))
+    if counted is not None:
+        others = counted.select(F.date_add("week", 7).alias("week")).distinct().join(before, "week", "left_anti")
+        before = before.union(others.withColumn("last_kept", F.lit(0).cast("long")))
     return weeks.join(before, "week", "left").withColumn("diff", F.col("n_kept") - F.col("last_kept"))
 
 
+def counted_weeks(keyword_days: DataFrame) -> DataFrame:
+    """Weeks with at least one article for a keyword, from counts by keyword and day."""
+    return keyword_days.where("n > 0").select(F.to_date(F.date_trunc("WEEK", "kst_date")).alias("week")).distinct()
+
+
 def week_rows(articles: DataFrame, entries: list[dict], start: date, most: int = 5) -> DataFrame:
     """The keyword table of the week from ``start``: this week, last week, delta, note and label, most frequent first.
 

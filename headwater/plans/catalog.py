@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from headwater.functions import keywords, text, timewin, urls
 from headwater.operators import grouping, load, quality, report, series, windows
-from headwater.session import shared_folder
+from headwater.session import settled, shared_folder
+from headwater.sinks.versions import DayTables
 from headwater.sources.articles import articles, table
 from headwater.streaming import slices
 
@@ -287,11 +288,12 @@ def required_fields(spark, sf):
 
 @query(f"{JUDGED} SELECT kst_date, pos, CASE WHEN reason LIKE 'interest:%' THEN 'kept' ELSE 'dropped' END AS verdict, CAST(row_number() OVER (PARTITION BY kst_date ORDER BY reason NOT LIKE 'interest:%', pos) - 1 AS INT) AS position FROM jd")
 def decisions_roundtrip(spark, sf):
-    path = posixpath.join(shared_folder(spark), f"decisions-{uuid.uuid4().hex}")
-    d = load.positioned(_judged(spark, sf)).select("kst_date", "pos", "verdict", "position")
-    load.save_decisions(spark, d, path)
-    load.save_decisions(spark, d.where(F.col("kst_date") == F.lit(DAY)), path)
-    return spark.read.parquet(path).select("kst_date", "pos", "verdict", "position")
+    store = DayTables(spark, posixpath.join(shared_folder(spark), f"decisions-{uuid.uuid4().hex}"), {"decisions": "pos long, verdict string, position int"})
+    d = settled(load.positioned(_judged(spark, sf)).select("kst_date", "pos", "verdict", "position"))
+    days = [r.kst_date for r in d.select("kst_date").distinct().collect()]
+    store.replace(days, {"decisions": d})
+    store.replace([DAY], {"decisions": d})
+    return store.read("decisions").select("kst_date", "pos", "verdict", "position")
 
 
 @query(f"{JUDGED} SELECT CAST(date_trunc('week', kst_date) AS DATE) AS week, count(DISTINCT url) AS n_kept FROM jd WHERE reason LIKE 'interest:%' GROUP BY 1")

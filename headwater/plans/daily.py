@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from headwater.functions import keywords, text, timewin, urls
-from headwater.operators import brief, decisions, grouping, load, quality, report, series, windows
+from headwater.operators import brief, decisions, grouping, judging, load, quality, report, series, windows
 from headwater.plans.catalog import ART, BATCHES, BISECT, DAY, EXCLUDE, FIRST, INTEREST, JUDGED, KWD, LAST, PAGE_TITLE, REGULATION, TOK, TOOL, WATCH, _batches, _judged, boundary, query
 from headwater.session import settled, shared_folder
 from headwater.sources import listing
@@ -155,9 +155,15 @@ def daily_stats(spark, sf):
     return out.withColumn("first_seen", F.array_join("first_seen", " "))
 
 
-@query(f"{JUDGED}, wv AS (SELECT CAST(date_trunc('week', kst_date) AS DATE) AS week, count(DISTINCT CASE WHEN reason LIKE 'interest:%' THEN url END) AS n_kept FROM jd GROUP BY 1) SELECT a.week, a.n_kept, b.n_kept AS last_kept, a.n_kept - b.n_kept AS diff FROM wv a LEFT JOIN wv b ON b.week = a.week - 7")
+# Nothing is decided in one week, though its keywords are counted.
+@query(
+    f"{JUDGED}{KWD}, jw AS (SELECT CAST(date_trunc('week', kst_date) AS DATE) AS week, reason, url FROM jd), wv AS (SELECT week, count(DISTINCT CASE WHEN reason LIKE 'interest:%' THEN url END) AS n_kept FROM jw WHERE week <> DATE '2024-01-08' GROUP BY 1), "
+    "kc AS (SELECT DISTINCT CAST(date_trunc('week', kst_date) AS DATE) AS week FROM kwd WHERE n > 0) "
+    "SELECT a.week, a.n_kept, CASE WHEN b.week IS NOT NULL THEN b.n_kept WHEN kc.week IS NOT NULL THEN 0 END AS last_kept, a.n_kept - CASE WHEN b.week IS NOT NULL THEN b.n_kept WHEN kc.week IS NOT NULL THEN 0 END AS diff FROM wv a LEFT JOIN wv b ON b.week = a.week - 7 LEFT JOIN kc ON kc.week = a.week - 7"
+)
 def weekly_volume(spark, sf):
-    return report.weekly_volume(_judged(spark, sf))
+    decided = _judged(spark, sf).where(F.to_date(F.date_trunc("WEEK", "kst_date")) != F.lit(date(2024, 1, 8)))
+    return report.weekly_volume(decided, report.counted_weeks(series.keyword_days(articles(spark, sf), WATCH)))
 
 
 WEEK = date(2024, 1, 15)
@@ -288,6 +294,13 @@ def groups_regrouped(spark, sf):
 
 # A model's answer for each day: it speaks of all candidates but each fifth, keeps all but each third, and names two groups.
 _CAND = "cd AS (SELECT kst_date, row_number() OVER (PARTITION BY kst_date ORDER BY seen_ts, url, pos) AS n, url, title, domain FROM art), ca AS (SELECT *, n % 5 <> 0 AS said, n % 5 <> 0 AND n % 3 <> 0 AS keep FROM cd WHERE day(kst_date) % 6 <> 0)"
+# What the model keeps and names in no group goes to the rules.
+_REST = JUDGED.replace("WITH art", "WITH RECURSIVE art", 1) + f", {_CAND}, kp AS (SELECT kst_date, row_number() OVER (PARTITION BY kst_date ORDER BY n) AS i, n AS page, url, title, domain, {_TOKENS} AS tokens FROM ca WHERE keep AND n NOT IN (1, 2, 4))"
+MODEL_GROUPS = (
+    TOLD.replace(KEPT, _REST) + ", nm AS (SELECT kst_date, CASE WHEN n = 4 THEN 1 ELSE 0 END AS g, n, url, title FROM ca WHERE keep AND n IN (1, 2, 4)), "
+    f"ng AS (SELECT kst_date, g, CASE WHEN g = 0 THEN 'policy' WHEN sum({_hits(REGULATION)}) > 0 AND sum({_hits(REGULATION)}) >= sum({_hits(TOOL)}) THEN 'policy' WHEN sum({_hits(TOOL)}) > 0 THEN 'tool' ELSE 'other' END AS kind, CASE WHEN g = 0 THEN 'One, told' ELSE 'Two' END AS headline, string_agg(url, ' ' ORDER BY n) AS urls FROM nm GROUP BY 1, 2), "
+    "mo AS (SELECT kst_date, CAST(row_number() OVER (PARTITION BY kst_date ORDER BY r, o) - 1 AS INT) AS group_id, kind, headline, urls FROM (SELECT kst_date, 0 AS r, g AS o, kind, headline, urls FROM ng UNION ALL SELECT kst_date, 1, place, kind, headline, array_to_string(urls, ' ') FROM tl))"
+)
 
 
 def _answers(spark, sf):
@@ -304,15 +317,55 @@ def model_verdicts(spark, sf):
     return decisions.model_verdicts(body, own).select("kst_date", "n", "url", "verdict", "reason")
 
 
-@query(
-    f"{ART}, {_CAND}, nm AS (SELECT kst_date, CASE WHEN n = 4 THEN 1 ELSE 0 END AS g, n, url, title FROM ca WHERE keep AND n IN (1, 2, 4)) "
-    f"SELECT kst_date, g AS group_id, CASE WHEN g = 0 THEN 'policy' WHEN sum({_hits(REGULATION)}) > 0 AND sum({_hits(REGULATION)}) >= sum({_hits(TOOL)}) THEN 'policy' WHEN sum({_hits(TOOL)}) > 0 THEN 'tool' ELSE 'other' END AS kind, CASE WHEN g = 0 THEN 'One, told' ELSE 'Two' END AS headline, string_agg(url, ' ' ORDER BY n) AS urls FROM nm GROUP BY kst_date, g"
-)
+@query(f"{MODEL_GROUPS} SELECT * FROM mo")
 def model_groups(spark, sf):
-    """The groups that the answers name; those that the rules add have other headlines."""
+    """The groups that the answers name, and after them those that the rules make of the other kept titles."""
     body, own = _answers(spark, sf)
     found = decisions.model_groups(body, decisions.model_verdicts(body, own), REGULATION, TOOL)
-    return found.where("headline in ('One, told', 'Two')").select("kst_date", F.col("group_id").cast("int").alias("group_id"), "kind", "headline", F.array_join("urls", " ").alias("urls"))
+    return found.select("kst_date", F.col("group_id").cast("int").alias("group_id"), "kind", "headline", F.array_join("urls", " ").alias("urls"))
+
+
+def _judged_days(spark, sf):
+    """Days judged by the rules, then asked of a model whose answers miss or fail for some, then again with days that have no articles any more."""
+    body, _ = _answers(spark, sf)
+    a = settled(grouping.in_store_order(articles(spark, sf)))
+    days = [r.kst_date for r in a.select("kst_date").distinct().collect()]
+    store = judging.tables(spark, posixpath.join(shared_folder(spark), f"judged-{uuid.uuid4().hex}"))
+    words = judging.Words(INTEREST, EXCLUDE, REGULATION, TOOL)
+    judging.judge_days(store, a, days, words)
+    answers = settled(body.where(F.day("kst_date") % 4 != 3))
+    for own in (a, a.where(F.day("kst_date") % 9 != 0)):
+        judging.judge_days(store, own, days, words, "llm", answers)
+    return store
+
+
+_DECIDED = "CASE WHEN day(kst_date) % 9 = 0 THEN NULL WHEN day(kst_date) % 4 = 3 OR day(kst_date) % 6 = 0 THEN 'rules' ELSE 'llm' END"
+
+
+@query(
+    f"{JUDGED}, {_CAND}, jo AS (SELECT kst_date, url, reason LIKE 'interest:%' AS keep, row_number() OVER (PARTITION BY kst_date ORDER BY seen_ts, url, pos) AS n FROM jd), "
+    f"de AS (SELECT kst_date, url, keep, n FROM jo WHERE {_DECIDED} = 'rules' UNION ALL SELECT kst_date, url, keep, n FROM ca WHERE {_DECIDED} = 'llm'), "
+    "dd AS (SELECT kst_date, string_agg(url, ' ' ORDER BY n) FILTER (keep) AS kept, string_agg(url, ' ' ORDER BY n) FILTER (NOT keep) AS dropped FROM de GROUP BY 1) "
+    "SELECT kst_date, CASE WHEN day(kst_date) % 9 = 0 THEN 'llm' WHEN day(kst_date) % 4 = 3 OR day(kst_date) % 6 = 0 THEN 'rules' ELSE 'llm' END AS backend, 'llm' AS requested_backend, "
+    "CASE WHEN day(kst_date) % 9 = 0 THEN '' WHEN day(kst_date) % 4 = 3 THEN 'no answer has landed' WHEN day(kst_date) % 6 = 0 THEN 'the answer is of no use' ELSE '' END AS fallback_reason, coalesce(kept, '') AS kept, coalesce(dropped, '') AS dropped FROM (SELECT DISTINCT kst_date FROM art) LEFT JOIN dd USING (kst_date)"
+)
+def judged_days(spark, sf):
+    """What is stored of each day: who decided, why not who was asked, and the links in stored order."""
+    store = _judged_days(spark, sf)
+    state = store.days()
+    links = lambda v: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("verdict") == v, F.struct("position", "url")))), lambda x: x["url"]), " ")
+    rows = store.read("decisions", state=state).groupBy("kst_date").agg(links("kept").alias("kept"), links("dropped").alias("dropped"))
+    return store.read("runs", state=state).join(rows, "kst_date", "left").na.fill("", ["fallback_reason", "kept", "dropped"]).drop("saved_at")
+
+
+@query(
+    f"SELECT * FROM ({MODEL_GROUPS} SELECT * FROM mo) WHERE {_DECIDED} = 'llm' UNION ALL "
+    f"SELECT * FROM ({TOLD} SELECT kst_date, place - 1 AS group_id, kind, {prose_sql('headline')} AS headline, array_to_string(urls, ' ') AS urls FROM tl) WHERE {_DECIDED} = 'rules'"
+)
+def judged_groups(spark, sf):
+    """The stored groups of the days, read back with their links."""
+    found = judging.stored_groups(_judged_days(spark, sf))
+    return found.select("kst_date", "group_id", "kind", "headline", F.array_join("urls", " ").alias("urls"))
 
 
 @query(f"{ART} SELECT kst_date, pos, CAST(row_number() OVER (PARTITION BY kst_date ORDER BY seen_ts DESC, url, pos) AS INT) AS place FROM art")

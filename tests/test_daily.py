@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from headwater import settings
 from headwater.functions import text, timewin
-from headwater.operators import brief, decisions, grouping, load, quality, report, series
+from headwater.operators import brief, decisions, grouping, judging, load, quality, report, series
 from headwater.plans import catalog
 from headwater.sinks import messages
 from headwater.sources import listing
@@ -91,19 +91,29 @@ def test_decisions_are_reused_until_something_changes(spark, tmp_path):
     days = [date(2026, 9, d) for d in (10, 11)]
     rows = [(d, i, f"https://a.kr/{d.day}/{i}", t, datetime(2026, 9, 10, i)) for d in days for i, t in enumerate(["AI news", "stock AI", "rain"])]
     a = spark.createDataFrame(rows, "kst_date date, pos long, url string, title string, seen_ts timestamp_ntz")
-    path, run = f"file://{tmp_path}/decisions", lambda df, **k: {r.kst_date.day: r.reason for r in decisions.judged_days(spark, df, f"file://{tmp_path}/decisions", ["AI"], ["stock"], **k).collect()}
+    store = judging.tables(spark, f"file://{tmp_path}/decisions")
+    words = judging.Words(["AI"], ["stock"], ["law"], ["tool"])
+    run = lambda df, **k: {r.kst_date.day: r.reason for r in judging.judge_days(store, df, days, words, **k).collect()}
+    a = a.withColumn("domain", F.lit("a.kr"))
+    read = lambda: sorted(tuple(r) for r in store.read("decisions").collect())
     assert run(a) == {10: "none", 11: "none"} and run(a) == {10: "", 11: ""}
-    first = sorted(spark.read.parquet(path).collect())
-    assert len(first) == 6 and sum(r.verdict == "kept" for r in first) == 2
+    first = read()
+    assert len(first) == 6 and sum(r[1] == "kept" for r in first) == 2
     more = a.union(a.where("pos = 0 and day(kst_date) = 11").withColumn("url", F.lit("https://a.kr/new")).withColumn("pos", F.lit(9).cast("long")))
     assert run(more) == {10: "", 11: "count"}
-    assert spark.read.parquet(path).count() == 7 and sorted(r for r in spark.read.parquet(path).collect() if r.kst_date.day == 10) == [r for r in first if r.kst_date.day == 10]
+    assert len(read()) == 7 and [r for r in read() if r[-1].day == 10] == [r for r in first if r[-1].day == 10]
     changed = more.withColumn("url", F.when(F.col("pos") == 9, "https://a.kr/other").otherwise(F.col("url")))
     assert run(changed) == {10: "", 11: "links"} and run(changed, wanted="llm") == {10: "backend", 11: "backend"} and run(changed, wanted="llm", force=True) == {10: "forced", 11: "forced"}
+    # what the rules decided is never told as the model's, and asking the model again changes nothing
+    told = {r.kst_date.day: (r.backend, r.requested_backend, r.fallback_reason) for r in store.read("runs").collect()}
+    assert told == {d: ("rules", "llm", "no answer has landed") for d in (10, 11)} and run(changed, wanted="llm") == {10: "", 11: ""}
+    # a day without articles any more is stored as an empty one
+    assert run(changed.where("day(kst_date) = 10"), wanted="llm") == {10: "", 11: "count"} and {r[-1].day for r in read()} == {10}
+    assert [r.kst_date.day for r in judging.stored_groups(store).collect()] == [10] and sorted(d.day for d in store.days()) == [10, 11]
     heads, links = decisions.flat_groups(spark.createDataFrame([(DAY, 0, "a — b", ["x", "y"], "ODD"), (DAY, 1, "c", [], "tool")], "kst_date date, group_id int, headline string, urls array<string>, kind string"))
     again = decisions.regrouped(heads, links)
     assert [(r.headline, r.kind, r.urls) for r in again.orderBy("group_id").collect()] == [("a, b", "other", ["x", "y"]), ("c", "tool", [])]
-    kept = load.positioned(spark.read.parquet(path).where("day(kst_date) = 10").withColumn("pos", F.col("position")))
+    kept = load.positioned(store.read("decisions").where("day(kst_date) = 10").withColumn("pos", F.col("position")))
     row = decisions.nested(kept, again.withColumn("kst_date", F.lit(days[0]))).first()
     assert [x.url[-1] for x in row.kept] == ["0"] and [x.reason for x in row.dropped] == ["exclude:stock", "no_interest"] and [g.urls for g in row.groups] == [["x", "y"], []]
 
