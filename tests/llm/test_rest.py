@@ -49,7 +49,11 @@ def test_token_counts_of_a_model_file_and_of_repeated_rows(spark):
 def test_the_table_holds_the_frequent_runs_of_the_corpus(spark, monkeypatch):
     texts = ["the cat the dog"] * 30 + ["the odd one " + "x" * 90] * 9
     assert token_counts.frequent(frame(spark, texts), 3) == [b"the", b"cat", b"dog"]
+    # a sample of a few rows, or of none, changes the table but no result
+    monkeypatch.setattr(token_counts, "SAMPLE_ROWS", 4)
+    sampled = token_counts.token_counts(frame(spark)).collect()
     monkeypatch.setattr(token_counts, "TABLE_WORDS", 0)
+    assert sorted(sampled) == sorted(token_counts.token_counts(frame(spark)).collect())
     plain = token_counts.token_counts(frame(spark)).collect()
     monkeypatch.setattr(token_counts, "TABLE_WORDS", 50)
     assert sorted(plain) == sorted(token_counts.token_counts(frame(spark)).collect())
