@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from headwater.operators import keyindex
+from headwater.session import settled
+
 
 def keep_first(df: DataFrame, key: Column, *order: Column | str) -> DataFrame:
     """The first row of each key. A minimum of structs is combined on the map side, so a hot key moves a row for each task."""
@@ -31,18 +34,15 @@ def first_wins(batches: DataFrame, *order: str) -> DataFrame:
 def load(spark: SparkSession, new: DataFrame, path: str, *order: str) -> DataFrame:
     """Appends links that the table at ``path`` lacks, partitioned by kst_date; returns inserted, duplicated and total.
 
-    A link once stored keeps its day. The stored side of the anti join is the link column alone.
+    A link once stored keeps its day. Stored links are looked up in the buckets that the new ones fall into (``keyindex``); the table itself isn't read.
     """
-    rows = new.where(F.coalesce(F.trim("url"), F.lit("")) != "")
-    fresh = keep_first(rows, F.col("url"), *order)
-    known = stored(spark, path)
-    if known is not None:
-        fresh = fresh.join(known.select("url"), "url", "left_anti").select(*new.columns)
-    before = 0 if known is None else known.count()
+    rows = settled(new.where(F.coalesce(F.trim("url"), F.lit("")) != ""))
     seen = rows.count()
-    fresh.write.mode("append").partitionBy("kst_date").parquet(path)
-    after = spark.read.parquet(path).count()
-    return spark.createDataFrame([(after - before, seen - (after - before), after)], "inserted long, duplicated long, total long")
+    inserted, total = keyindex.load(spark, new, path, keep_first(rows, F.col("url"), *order), "url", "kst_date")
+    if not total:
+        # a table that has never had a row is still one
+        new.limit(0).write.mode("append").partitionBy("kst_date").parquet(path)
+    return spark.createDataFrame([(inserted, seen - inserted, total)], "inserted long, duplicated long, total long")
 
 
 def stored(spark: SparkSession, path: str) -> DataFrame | None:

@@ -10,7 +10,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headwater.functions import keywords, text, timewin, urls
+from headwater.functions import automaton, keywords, text, timewin, urls
 from headwater.operators import grouping, load, quality, report, series, windows
 from headwater.session import settled, shared_folder
 from headwater.sinks.versions import DayTables
@@ -88,6 +88,23 @@ def keyword_counts(spark, sf):
     return series.keyword_counts(articles(spark, sf), WATCH)
 
 
+@query(f"{ART}{KWD} SELECT keyword, CAST(sum(n) AS BIGINT) AS n FROM kwd GROUP BY keyword")
+def keyword_counts_in_one_pass(spark, sf):
+    """The same by the automaton of all keywords."""
+    return automaton.keyword_counts(articles(spark, sf), WATCH)
+
+
+@query(
+    f"{ART}, bw AS (SELECT DISTINCT unnest(regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z]+')) AS keyword FROM benchmark), "
+    "tv AS (SELECT DISTINCT pos, kst_date, unnest(regexp_extract_all(lower(title), '[0-9a-z]+')) AS keyword FROM art) SELECT keyword, CAST(date_trunc('week', kst_date) AS DATE) AS week, count(*) AS n FROM tv JOIN bw USING (keyword) GROUP BY ALL"
+)
+def keyword_list_counts(spark, sf):
+    """A long list of keywords, all words of the benchmark's items, counted in the titles of each week in one pass."""
+    words = table(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[0-9a-z]+"), F.lit(0))).alias("w")).distinct()
+    a = articles(spark, sf).select("title", F.to_date(F.date_trunc("WEEK", "kst_date")).alias("week"))
+    return automaton.counted(a, [r.w for r in words.orderBy("w").collect()], "week")
+
+
 @query(f"{ART}{KWD}, z AS (SELECT keyword, kst_date, n, max(n) OVER (PARTITION BY keyword ORDER BY kst_date - DATE '1970-01-01' RANGE BETWEEN 7 PRECEDING AND 1 PRECEDING) AS b FROM kwd) SELECT keyword, kst_date, n FROM z WHERE n > 0 AND coalesce(b, 0) = 0")
 def first_seen(spark, sf):
     return series.first_seen(articles(spark, sf), WATCH)
@@ -213,6 +230,11 @@ def _judged(spark, sf):
     return grouping.classify(articles(spark, sf), INTEREST, EXCLUDE)
 
 
+@query(f"{ART} SELECT pos, {_first_sql(INTEREST)} AS keyword, CAST({' + '.join(f'CAST({boundary(k)} AS INT)' for k in INTEREST)} AS INT) AS hits FROM art")
+def longest_keyword_in_one_pass(spark, sf):
+    return automaton.classified(articles(spark, sf).select("pos", "title"), INTEREST).select("pos", "keyword", "hits")
+
+
 @query(f"{JUDGED} SELECT pos, reason, CASE WHEN reason LIKE 'interest:%' THEN 'kept' ELSE 'dropped' END AS verdict FROM jd")
 def classify(spark, sf):
     return _judged(spark, sf).select("pos", "reason", "verdict")
