@@ -9,10 +9,10 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from headwater.functions import keywords, text, timewin, urls
-from headwater.operators import brief, decisions, grouping, judging, load, quality, report, series, windows
+from headwater.operators import brief, decisions, frontier, grouping, judging, load, quality, report, series, windows
 from headwater.plans.catalog import ART, BATCHES, BISECT, DAY, EXCLUDE, FIRST, INTEREST, JUDGED, KWD, LAST, PAGE_TITLE, REGULATION, TOK, TOOL, WATCH, _batches, _judged, boundary, query
 from headwater.session import settled, shared_folder
-from headwater.sources import listing
+from headwater.sources import listing, slicesource
 from headwater.sources.articles import articles, parse_slices, table, within
 from headwater.streaming import slices
 
@@ -251,14 +251,71 @@ def qa_summary(spark, sf):
 @query(f"{ART} SELECT url, trim(title) AS title, lower(domain) AS domain, strftime(seen_ts, '%Y%m%dT%H%M%SZ') AS seendate FROM art WHERE pos % 3 <> 0 AND trim(title) <> '' AND regexp_matches(title, '\\bthe\\b', 'i')")
 def slice_scan(spark, sf):
     """Lines of slice files made from the articles, parsed again; a third is of another language."""
+    kept, _ = parse_slices(articles(spark, sf).select(_slice_line().alias("line")), r"\bthe\b")
+    return kept
+
+
+def _slice_line():
     columns = [F.lit("")] * 27
     columns[1], columns[3], columns[4] = F.date_format(F.col("seen_ts").cast("timestamp"), "yyyyMMddHHmmss"), F.col("domain"), F.col("url")
     columns[25] = F.when(F.col("pos") % 3 == 0, "srclc:deu;eng:x").otherwise("srclc:kor;eng:x")
     columns[26] = F.concat(F.lit("<PAGE_TITLE>"), F.replace(F.replace(F.regexp_replace("title", "\t", " "), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("</PAGE_TITLE>"))
-    kept, _ = parse_slices(articles(spark, sf).select(F.concat_ws("\t", *columns).alias("line")), r"\bthe\b")
+    return F.concat_ws("\t", *columns)
+
+
+def _landed_slices(spark, sf):
+    """Slice files made from the articles by the executors; the folder."""
+    folder = posixpath.join(shared_folder(spark), f"slices-{uuid.uuid4().hex}")
+    stamp = F.date_format(F.window(F.col("seen_ts").cast("timestamp"), "15 minutes")["start"], "yyyyMMddHHmmss")
+    slicesource.land(articles(spark, sf).select(stamp.alias("stamp"), "pos", _slice_line().alias("line")), folder)
+    slicesource.register(spark)
+    return folder
+
+
+@query(f"{ART} SELECT url, trim(title) AS title, lower(domain) AS domain, strftime(seen_ts, '%Y%m%dT%H%M%SZ') AS seendate FROM art WHERE pos % 3 <> 0 AND trim(title) <> '' AND seen_ts >= TIMESTAMP '2024-01-09 15:00:00' AND seen_ts < TIMESTAMP '2024-01-12 15:00:00'")
+def slice_source(spark, sf):
+    """Slices of three local days, chosen by their stamps in the source."""
+    rows = spark.read.format("slices").option("path", _landed_slices(spark, sf)).load()
+    kept, _ = parse_slices(rows.where("stamp >= '20240109150000' and stamp <= '20240112144500'"), ".")
     return kept
 
 
+@query(f"{ART} SELECT strftime(time_bucket(INTERVAL 15 MINUTE, seen_ts), '%Y%m%d%H%M%S') AS stamp, count(*) AS n FROM art WHERE seen_ts >= TIMESTAMP '2024-01-05' GROUP BY 1")
+def slice_source_stream(spark, sf):
+    """The same source as a stream, counted by slice."""
+    folder = _landed_slices(spark, sf)
+    stream = spark.readStream.format("slices").option("path", folder).option("first", "20240105000000").option("patience", 0).load()
+    return slices.run_available(stream.groupBy("stamp").agg(F.count("*").alias("n")), f"{folder}-counts", f"{folder}-state")
+
+
+class _FromFile:
+    """A source that gives rows of a table, at most so many for each window, and refuses one window."""
+
+    def __init__(self, path: str, refused: str):
+        self.path, self.refused = path, refused
+
+    def __call__(self, start: str, end: str, cap: int) -> dict:
+        import pyarrow.compute as pc
+        import pyarrow.dataset as ds
+        from pyarrow import fs
+
+        if start == self.refused:
+            raise listing.RateLimited("busy")
+        system, place = fs.FileSystem.from_uri(self.path)
+        rows = ds.dataset(place, filesystem=system, format="parquet").to_table(filter=(pc.field("at") >= start) & (pc.field("at") <= end))
+        return {"articles": [{"url": str(i), "seendate": at} for i, at in zip(rows["event_id"].to_pylist(), rows["at"].to_pylist(), strict=True)][:cap]}
+
+
+@query(f"{BISECT.replace('WHERE c >= 60 AND depth < 5', 'WHERE c >= 60 AND n <> 3 AND depth < 5')} SELECT n, depth, CASE WHEN n = 3 THEN 0 ELSE least(c, 60) END AS count, c >= 60 AND n <> 3 AS hit_cap, c >= 60 AND n <> 3 AND depth < 5 AND epoch(b - a) >= 2 AS split, c >= 60 AND n <> 3 AND NOT (depth < 5 AND epoch(b - a) >= 2) AS truncated, n = 3 AS blocked FROM w")
+def window_frontier(spark, sf):
+    """Windows fetched by the executors, level by level; the second half of the day is refused."""
+    folder = posixpath.join(shared_folder(spark), f"frontier-{uuid.uuid4().hex}")
+    at = F.date_format(F.date_trunc("second", F.col("ts")), "yyyyMMddHHmmss")
+    table(spark, sf, "events").where(F.col("ts").between(F.lit(FIRST), F.lit(LAST))).select("event_id", at.alias("at")).write.parquet(f"{folder}/source")
+    found, _ = frontier.collect(spark, _FromFile(f"{folder}/source", (FIRST + (LAST - FIRST) // 2).strftime("%Y%m%d%H%M%S")), FIRST, LAST, f"{folder}/answers", 60)
+    return found.select("n", "depth", "count", "hit_cap", "split", "truncated", "blocked")
+
+
 # Stored decisions of two batches against what is handled now.
 _HANDLED = "hd AS (SELECT kst_date, url FROM art WHERE NOT (day(kst_date) % 4 = 1 AND pos % 2 = 0)), so AS (SELECT kst_date, CASE WHEN day(kst_date) % 4 = 2 AND pos = (SELECT max(pos) FROM art b WHERE b.kst_date = art.kst_date) THEN url || '#x' ELSE url END AS url, CASE WHEN day(kst_date) % 4 = 3 THEN 'llm' ELSE 'rules' END AS backend FROM art WHERE kst_date > DATE '2024-01-05')"
 
