@@ -78,7 +78,12 @@ def week_rows(articles: DataFrame, entries: list[dict], start: date, most: int =
     rows = [F.struct(F.lit(e["name"]).alias("keyword"), F.lit(e.get("roman") or "").alias("roman"), F.col(f"t{i}").alias("this_week"), F.col(f"l{i}").alias("last_week")) for i, e in enumerate(entries)]
     if not rows:
         return articles.sparkSession.createDataFrame([], "keyword string, roman string, this_week long, last_week long, delta long, delta_text string, note string")
-    out = counted.select(F.inline(F.array(*rows))).where("this_week > 0 or last_week > 0").withColumn("delta", F.col("this_week") - F.col("last_week"))
+    return shaped_rows(counted.select(F.inline(F.array(*rows))), most)
+
+
+def shaped_rows(counted: DataFrame, most: int = 5) -> DataFrame:
+    """The keyword table from keyword, roman, this_week and last_week."""
+    out = counted.where("this_week > 0 or last_week > 0").withColumn("delta", F.col("this_week") - F.col("last_week"))
     note = F.when(F.col("last_week") == 0, "new").when(F.col("this_week") == 0, "gone").otherwise("")
     return out.withColumns({"delta_text": text.delta_text(F.col("delta")), "note": note}).orderBy(F.desc("this_week"), F.desc("last_week"), "keyword").limit(most)
 

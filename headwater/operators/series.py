@@ -51,8 +51,13 @@ def keyword_days(articles: DataFrame, words: list[str]) -> DataFrame:
 
 def first_seen(articles: DataFrame, words: list[str], lookback: int = 7) -> DataFrame:
     """Days on which a keyword occurs and in the days before doesn't."""
+    return first_seen_of(keyword_days(articles, words), lookback)
+
+
+def first_seen_of(counts: DataFrame, lookback: int = 7) -> DataFrame:
+    """The same from counts (keyword, kst_date, n); days without a row count as none."""
     w = Window.partitionBy("keyword").orderBy("d").rangeBetween(-lookback, -1)
-    grid = keyword_days(articles, words).withColumn("d", F.datediff("kst_date", F.lit("1970-01-01")))
+    grid = counts.withColumn("d", F.datediff("kst_date", F.lit("1970-01-01")))
     return grid.withColumn("before", F.coalesce(F.max("n").over(w), F.lit(0))).where("n > 0 and before = 0").select("keyword", "kst_date", "n")
 
 
@@ -93,11 +98,15 @@ def daily_stats(articles: DataFrame, words: list[str], window: int = 7, least: i
 
     Keywords are left out (``skipped``) where nothing at all is stored for the look-back, as everything would be new then.
     """
-    daily = daily_counts(articles)
+    return stats_of(daily_counts(articles), first_seen(articles, words, lookback), words, window, least, lookback, since)
+
+
+def stats_of(daily: DataFrame, seen: DataFrame, words: list[str], window: int = 7, least: int = 3, lookback: int = 7, since: Column | None = None) -> DataFrame:
+    """The same from counts of all days and the keywords first seen."""
     mean = recent_average(daily, window, least, since).select("kst_date", F.col("n").alias("article_count"), F.coalesce("avg_n", F.lit(0.0)).alias("avg_7d"), "days_used")
     past = history(daily, lookback).select("kst_date", "n_before")
     place = F.create_map(*[F.lit(x) for i, w in enumerate(words) for x in (w, i)])
-    new = first_seen(articles, words, lookback).groupBy("kst_date").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.element_at(place, F.col("keyword")).alias("i"), "keyword"))), lambda x: x["keyword"]).alias("seen"))
+    new = seen.groupBy("kst_date").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.element_at(place, F.col("keyword")).alias("i"), "keyword"))), lambda x: x["keyword"]).alias("seen"))
     out = mean.join(past, "kst_date").join(new, "kst_date", "left").withColumn("skipped", F.col("n_before") == 0)
     none = F.array().cast("array<string>")
     return out.withColumn("first_seen", F.when(F.col("skipped"), none).otherwise(F.coalesce("seen", none))).drop("seen")
