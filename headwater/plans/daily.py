@@ -8,13 +8,13 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from headwater.functions import keywords, text, timewin, urls
+from headwater.functions import automaton, keywords, text, timewin, urls
 from headwater.operators import brief, decisions, frontier, grouping, judging, load, quality, report, rollup, series, windows
 from headwater.plans.catalog import ART, BATCHES, BISECT, DAY, EXCLUDE, FIRST, INTEREST, JUDGED, KWD, LAST, PAGE_TITLE, REGULATION, SQL, TOK, TOOL, WATCH, _batches, _judged, boundary, query
 from headwater.session import settled, shared_folder
 from headwater.sources import listing, slicesource
 from headwater.sources.articles import articles, parse_slices, table, within
-from headwater.streaming import slices
+from headwater.streaming import slices, state
 
 # Kept titles in store order, their tokens, similar pairs, groups, medoids, summaries and sentences, each in terms of those before.
 _TOKENS = f"CASE WHEN len({TOK}) > 0 THEN {TOK} WHEN len(regexp_extract_all(title, '[0-9A-Za-z]+')) > 0 THEN list_distinct(list_transform(regexp_extract_all(title, '[0-9A-Za-z]+'), lambda x: lower(x))) ELSE [lower(title)] END"
@@ -616,3 +616,28 @@ def check_table(spark, sf):
 @query(SQL["keyword_range"])
 def keyword_range_from_rollup(spark, sf):
     return rollup.keyword_counts(_rolled(spark, sf), [*WATCH, "THE"], date(2024, 1, 14), date(2024, 1, 8))
+
+
+def _in_turns(spark, rows, turn, folder):
+    """A stream of files, one for each of three turns, in that order."""
+    for i in range(3):
+        rows.where(turn == i).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+@query(SQL["greedy_groups"])
+def late_groups(spark, sf):
+    """Kept titles that come in three batches, each placed into the groups that its day has by then."""
+    base = posixpath.join(shared_folder(spark), f"late-{uuid.uuid4().hex}")
+    rows = _kept(spark, sf).select("kst_date", "pos", "tokens")
+    stream = _in_turns(spark, rows, F.least(F.floor(F.col("pos") / 3), F.lit(2)), f"{base}/landed")
+    return state.run(stream, state.late_groups, f"{base}/groups", f"{base}/state")
+
+
+@query(SQL["first_seen"])
+def late_first_seen(spark, sf):
+    """Counts of keywords that come in three batches of days."""
+    base = posixpath.join(shared_folder(spark), f"seen-{uuid.uuid4().hex}")
+    rows = settled(automaton.counted(articles(spark, sf), WATCH, "kst_date").select("keyword", "kst_date", "n"))
+    stream = _in_turns(spark, rows, F.least(F.floor(F.day("kst_date") / 10), F.lit(2)), f"{base}/landed")
+    return state.run(stream, state.late_first_seen, f"{base}/seen", f"{base}/state")
