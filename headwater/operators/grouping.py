@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headwater.functions import keywords, text
@@ -37,15 +37,17 @@ def jaccard_pairs(titles: DataFrame, threshold: float = THRESHOLD, day: str = "k
     """Pairs of a day's titles with their similarity, from rows of day, pos and tokens.
 
     A prefix of each title's rarest tokens finds the pairs: two titles that share enough tokens share one of
-    those, so a token that all titles have joins only titles made of such tokens.
+    those, so a token that all titles have joins only titles made of such tokens. At the first token that both have, in the order of rarity,
+    what is left of either must be enough for the rest; pairs for which it isn't at any of their tokens are not looked at.
     """
     rows = titles.select(day, "pos", "tokens", F.size("tokens").alias("n"))
     tokens = rows.select(day, "pos", "n", F.explode("tokens").alias("t"))
     frequency = tokens.groupBy(day, "t").agg(F.count("*").alias("df"))
     ranked = tokens.join(frequency, [day, "t"]).withColumn("r", F.row_number().over(Window.partitionBy(day, "pos").orderBy("df", "t")))
-    prefix = ranked.where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).select(day, "pos", "t", "n")
+    prefix = ranked.where(F.col("r") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).select(day, "pos", "t", "n", "r")
     a, b = prefix.alias("a"), prefix.alias("b")
     near = (F.col("a.pos") < F.col("b.pos")) & (F.col("a.n") >= F.col("b.n") * threshold - 1e-9) & (F.col("b.n") >= F.col("a.n") * threshold - 1e-9)
+    near = near & (F.least(F.col("a.n") - F.col("a.r"), F.col("b.n") - F.col("b.r")) + 1 >= (F.col("a.n") + F.col("b.n")) * (threshold / (1 + threshold)) - 1e-9)
     pairs = a.join(b, (F.col(f"a.{day}") == F.col(f"b.{day}")) & (F.col("a.t") == F.col("b.t")) & near).select(F.col(f"a.{day}").alias(day), F.col("a.pos").alias("pos_a"), F.col("b.pos").alias("pos_b")).distinct()
     sets = rows.select(day, "pos", "tokens")
     both = pairs.join(sets.withColumnsRenamed({"pos": "pos_a", "tokens": "ta"}), [day, "pos_a"]).join(sets.withColumnsRenamed({"pos": "pos_b", "tokens": "tb"}), [day, "pos_b"])
@@ -60,7 +62,12 @@ def with_lead(titles: DataFrame, day: str = "kst_date") -> DataFrame:
 
 
 def greedy_groups(titles: DataFrame, threshold: float = THRESHOLD, day: str = "kst_date") -> DataFrame:
-    """Each title, in order, joins the group with the most similar member so far, the earliest of equal ones, or opens one.
+    """The group of each title: day, pos and group_id of ``led_groups``."""
+    return led_groups(titles, threshold, day).select(day, "pos", "group_id")
+
+
+def led_groups(titles: DataFrame, threshold: float = THRESHOLD, day: str = "kst_date") -> DataFrame:
+    """Each title, in order, joins the group with the most similar member so far, the earliest of equal ones, or opens one. Also its ``lead``.
 
     A title with the tokens of an earlier one joins that one's group, as nothing is more similar, so only the
     first of each set takes part. The pairs that reach the threshold are found by the distributed join; a day's own order is
@@ -90,7 +97,7 @@ def greedy_groups(titles: DataFrame, threshold: float = THRESHOLD, day: str = "k
 
     kind = dict(titles.dtypes)[day]
     groups = rows.groupBy(day).applyInPandas(follow, f"{day} {kind}, lead long, group_id long")
-    return led.select(day, "pos", "lead").join(groups, [day, "lead"]).select(day, "pos", "group_id")
+    return led.select(day, "pos", "lead").join(groups, [day, "lead"])
 
 
 def medoids(groups: DataFrame, titles: DataFrame, day: str = "kst_date") -> DataFrame:
@@ -98,7 +105,11 @@ def medoids(groups: DataFrame, titles: DataFrame, day: str = "kst_date") -> Data
 
     Sums are over the group's distinct sets, each weighted by its copies; sets that share no token add nothing and aren't met.
     """
-    led = with_lead(groups.join(titles.select(day, "pos", "tokens"), [day, "pos"]), day)
+    return led_medoids(with_lead(groups.join(titles.select(day, "pos", "tokens"), [day, "pos"]), day), day)
+
+
+def led_medoids(led: DataFrame, day: str = "kst_date") -> DataFrame:
+    """The same from titles with group, tokens and lead."""
     sets = led.groupBy(day, "group_id", "lead").agg(F.first("tokens").alias("tokens"), F.count("*").alias("copies"))
     size = sets.select(day, "group_id", "lead", "copies", F.size("tokens").alias("n"), F.explode("tokens").alias("t"))
     other = size.select(day, "group_id", "t", F.col("lead").alias("lead_b"), F.col("copies").alias("copies_b"), F.col("n").alias("n_b"))
@@ -111,14 +122,18 @@ def medoids(groups: DataFrame, titles: DataFrame, day: str = "kst_date") -> Data
 
 
 def group_summary(groups: DataFrame, articles: DataFrame, regulation: list[str], tool: list[str], day: str = "kst_date") -> DataFrame:
-    """Size, distinct outlets and kind of each group, with its place in the day's order.
+    """Size, distinct outlets and kind of each group, with its place in the day's order."""
+    return summed(groups.join(articles.select(day, "pos", "title", "domain"), [day, "pos"]), regulation, tool, day)
+
+
+def summed(rows: DataFrame, regulation: list[str], tool: list[str], day: str = "kst_date", *more: Column) -> DataFrame:
+    """Groups from titles with their group, by one aggregation, with further sums if wanted.
 
     ``domain_count`` may be 0 and orders the groups; ``told_by`` is what sentences say, the size where no outlet is known.
     """
-    rows = groups.join(articles.select(day, "pos", "title", "domain"), [day, "pos"])
     agg = rows.groupBy(day, "group_id").agg(
-        F.count("*").alias("article_count"), F.count_distinct(F.nullif("domain", F.lit(""))).alias("domain_count"), F.sum(keywords.hits(F.col("title"), regulation)).alias("reg"), F.sum(keywords.hits(F.col("title"), tool)).alias("tool"), F.min("pos").alias("first_pos")
-    )
+        F.count("*").alias("article_count"), F.count_distinct(F.nullif("domain", F.lit(""))).alias("domain_count"), F.sum(keywords.hits(F.col("title"), regulation)).alias("reg"), F.sum(keywords.hits(F.col("title"), tool)).alias("tool"), F.min("pos").alias("first_pos"), *more
+    )
     place = F.row_number().over(Window.partitionBy(day).orderBy(F.desc("domain_count"), F.desc("article_count"), "first_pos"))
     told = F.when(F.col("domain_count") > 0, F.col("domain_count")).otherwise(F.col("article_count"))
     return agg.withColumn("kind", kind_of(F.col("reg"), F.col("tool"))).withColumn("told_by", told).withColumn("place", place).drop("reg", "tool", "first_pos")
@@ -130,11 +145,11 @@ def kind_of(regulation, tool):
 
 def shaped_groups(titles: DataFrame, regulation: list[str], tool: list[str], threshold: float = THRESHOLD, day: str = "kst_date") -> DataFrame:
     """Groups of kept titles (day, pos, url, title, domain, tokens): group_id, place, kind, headline and urls in the order of the titles."""
-    # written once, as three of the tables below come from them
-    groups = settled(greedy_groups(titles, threshold, day))
-    lead = medoids(groups, titles, day).join(titles.select(day, F.col("pos").alias("medoid"), "title"), [day, "medoid"])
-    links = groups.join(titles.select(day, "pos", "url"), [day, "pos"]).groupBy(day, "group_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "url"))), lambda x: x["url"]).alias("urls"))
-    out = group_summary(groups, titles, regulation, tool, day).join(lead, [day, "group_id"]).join(links, [day, "group_id"])
+    # written once: titles with all that the groups are made from
+    own = settled(led_groups(titles, threshold, day).join(titles.select(day, "pos", "url", "title", "domain", "tokens"), [day, "pos"]))
+    lead = led_medoids(own, day).join(own.select(day, "group_id", F.col("pos").alias("medoid"), "title"), [day, "group_id", "medoid"])
+    links = F.transform(F.array_sort(F.collect_list(F.struct("pos", "url"))), lambda x: x["url"]).alias("urls")
+    out = summed(own, regulation, tool, day, links).join(lead, [day, "group_id"])
     return out.select(day, "group_id", "place", "kind", "article_count", "domain_count", "medoid", text.headline_sentence(F.col("title"), F.col("told_by")).alias("headline"), "urls")
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import posixpath
-import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -12,7 +10,7 @@ from pyspark.sql import functions as F
 
 from headwater.functions import automaton, keywords, text, timewin, urls
 from headwater.operators import grouping, load, quality, report, series, windows
-from headwater.session import settled, shared_folder
+from headwater.session import scratch, settled
 from headwater.sinks.versions import DayTables
 from headwater.sources.articles import articles, table
 from headwater.streaming import slices
@@ -310,7 +308,7 @@ def required_fields(spark, sf):
 
 @query(f"{JUDGED} SELECT kst_date, pos, CASE WHEN reason LIKE 'interest:%' THEN 'kept' ELSE 'dropped' END AS verdict, CAST(row_number() OVER (PARTITION BY kst_date ORDER BY reason NOT LIKE 'interest:%', pos) - 1 AS INT) AS position FROM jd")
 def decisions_roundtrip(spark, sf):
-    store = DayTables(spark, posixpath.join(shared_folder(spark), f"decisions-{uuid.uuid4().hex}"), {"decisions": "pos long, verdict string, position int"})
+    store = DayTables(spark, scratch(spark, "decisions"), {"decisions": "pos long, verdict string, position int"})
     d = settled(load.positioned(_judged(spark, sf)).select("kst_date", "pos", "verdict", "position"))
     days = [r.kst_date for r in d.select("kst_date").distinct().collect()]
     store.replace(days, {"decisions": d})
@@ -331,7 +329,7 @@ def missing_days(spark, sf):
 
 @query("SELECT strftime(time_bucket(INTERVAL 15 MINUTE, ts), '%Y%m%d%H%M%S') AS stamp, count(*) AS n FROM events GROUP BY 1")
 def stream_slice_counts(spark, sf):
-    folder = posixpath.join(shared_folder(spark), f"stream-{uuid.uuid4().hex}")
+    folder = scratch(spark, "stream")
     stream = spark.readStream.schema(table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     return slices.run_available(slices.slice_counts(stream), f"{folder}/counts", f"{folder}/state")
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import posixpath
-import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -11,7 +9,7 @@ from pyspark.sql import functions as F
 from headwater.functions import automaton, keywords, text, timewin, urls
 from headwater.operators import brief, decisions, frontier, grouping, judging, load, quality, report, rollup, series, windows
 from headwater.plans.catalog import ART, BATCHES, BISECT, DAY, EXCLUDE, FIRST, INTEREST, JUDGED, KWD, LAST, PAGE_TITLE, REGULATION, SQL, TOK, TOOL, WATCH, _batches, _judged, boundary, query
-from headwater.session import settled, shared_folder
+from headwater.session import scratch, settled
 from headwater.sources import listing, slicesource
 from headwater.sources.articles import articles, parse_slices, table, within
 from headwater.streaming import slices, state
@@ -180,7 +178,7 @@ def week_rows(spark, sf):
 def _rolled(spark, sf):
     """A rollup filled in two steps: all days without some of their articles, and then the days that these belong to, once more."""
     a = settled(articles(spark, sf).select("pos", "title", "kst_date"))
-    store = rollup.tables(spark, posixpath.join(shared_folder(spark), f"rollup-{uuid.uuid4().hex}"))
+    store = rollup.tables(spark, scratch(spark, "rollup"))
     late = (F.day("kst_date") % 3 == 0) & (F.col("pos") % 2 == 0)
     rollup.refresh(store, a.where(~late), WATCH)
     rollup.refresh(store, a, WATCH, [r.kst_date for r in a.where(late).select("kst_date").distinct().collect()])
@@ -287,7 +285,7 @@ def _slice_line():
 
 def _landed_slices(spark, sf):
     """Slice files made from the articles by the executors; the folder."""
-    folder = posixpath.join(shared_folder(spark), f"slices-{uuid.uuid4().hex}")
+    folder = scratch(spark, "slices")
     stamp = F.date_format(F.window(F.col("seen_ts").cast("timestamp"), "15 minutes")["start"], "yyyyMMddHHmmss")
     slicesource.land(articles(spark, sf).select(stamp.alias("stamp"), "pos", _slice_line().alias("line")), folder)
     slicesource.register(spark)
@@ -331,7 +329,7 @@ class _FromFile:
 @query(f"{BISECT.replace('WHERE c >= 60 AND depth < 5', 'WHERE c >= 60 AND n <> 3 AND depth < 5')} SELECT n, depth, CASE WHEN n = 3 THEN 0 ELSE least(c, 60) END AS count, c >= 60 AND n <> 3 AS hit_cap, c >= 60 AND n <> 3 AND depth < 5 AND epoch(b - a) >= 2 AS split, c >= 60 AND n <> 3 AND NOT (depth < 5 AND epoch(b - a) >= 2) AS truncated, n = 3 AS blocked FROM w")
 def window_frontier(spark, sf):
     """Windows fetched by the executors, level by level; the second half of the day is refused."""
-    folder = posixpath.join(shared_folder(spark), f"frontier-{uuid.uuid4().hex}")
+    folder = scratch(spark, "frontier")
     at = F.date_format(F.date_trunc("second", F.col("ts")), "yyyyMMddHHmmss")
     table(spark, sf, "events").where(F.col("ts").between(F.lit(FIRST), F.lit(LAST))).select("event_id", at.alias("at")).write.parquet(f"{folder}/source")
     found, _ = frontier.collect(spark, _FromFile(f"{folder}/source", (FIRST + (LAST - FIRST) // 2).strftime("%Y%m%d%H%M%S")), FIRST, LAST, f"{folder}/answers", 60)
@@ -409,7 +407,7 @@ def _judged_days(spark, sf):
     body, _ = _answers(spark, sf)
     a = settled(grouping.in_store_order(articles(spark, sf)))
     days = [r.kst_date for r in a.select("kst_date").distinct().collect()]
-    store = judging.tables(spark, posixpath.join(shared_folder(spark), f"judged-{uuid.uuid4().hex}"))
+    store = judging.tables(spark, scratch(spark, "judged"))
     words = judging.Words(INTEREST, EXCLUDE, REGULATION, TOOL)
     judging.judge_days(store, a, days, words)
     answers = settled(body.where(F.day("kst_date") % 4 != 3))
@@ -482,7 +480,7 @@ def total_of_day(spark, sf):
 @query(f"{ART} SELECT pos, url, title FROM art WHERE kst_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-10'")
 def stored_days(spark, sf):
     """Articles loaded into a table by day, in two overlapping loads, and a range of its days read back."""
-    path = posixpath.join(shared_folder(spark), f"articles-{uuid.uuid4().hex}")
+    path = scratch(spark, "articles")
     a = settled(articles(spark, sf).select("pos", "url", "title", "kst_date"))
     load.load(spark, a.where("pos % 3 <> 0"), path, "pos")
     load.load(spark, a, path, "pos")
@@ -492,7 +490,7 @@ def stored_days(spark, sf):
 @query(f"{BATCHES}, f AS (SELECT url, min(batch) AS batch FROM bt GROUP BY url) SELECT CAST(b.batch AS INT) AS run, coalesce(i, 0) AS inserted, n - coalesce(i, 0) AS duplicated FROM (SELECT batch, count(*) AS n FROM bt GROUP BY batch) b LEFT JOIN (SELECT batch, count(*) AS i FROM f GROUP BY batch) g USING (batch)")
 def runs_of_day(spark, sf):
     """Two loads with their rows in the run log, and the log of the day read back."""
-    base = posixpath.join(shared_folder(spark), f"runs-{uuid.uuid4().hex}")
+    base = scratch(spark, "runs")
     both = settled(_batches(spark, sf))
     for i in (1, 2):
         told = load.load(spark, both.where(F.col("batch") == i), f"{base}/articles", "pos")
@@ -503,7 +501,7 @@ def runs_of_day(spark, sf):
 @query(f"{ART} SELECT url, min(kst_date) AS kst_date FROM art GROUP BY url")
 def stream_first_load(spark, sf):
     """Articles that arrive as files, loaded as a stream: the first day of each link stays."""
-    base = posixpath.join(shared_folder(spark), f"first-{uuid.uuid4().hex}")
+    base = scratch(spark, "first")
     a = articles(spark, sf).select("pos", "url", "kst_date")
     a.repartition(3, "pos").write.parquet(f"{base}/landed")
     slices.load_first(slices.read(spark, f"{base}/landed", a.schema), f"{base}/table", f"{base}/state", "kst_date", "pos")
@@ -628,7 +626,7 @@ def _in_turns(spark, rows, turn, folder):
 @query(SQL["greedy_groups"])
 def late_groups(spark, sf):
     """Kept titles that come in three batches, each placed into the groups that its day has by then."""
-    base = posixpath.join(shared_folder(spark), f"late-{uuid.uuid4().hex}")
+    base = scratch(spark, "late")
     rows = _kept(spark, sf).select("kst_date", "pos", "tokens")
     stream = _in_turns(spark, rows, F.least(F.floor(F.col("pos") / 3), F.lit(2)), f"{base}/landed")
     return state.run(stream, state.late_groups, f"{base}/groups", f"{base}/state")
@@ -637,7 +635,7 @@ def late_groups(spark, sf):
 @query(SQL["first_seen"])
 def late_first_seen(spark, sf):
     """Counts of keywords that come in three batches of days."""
-    base = posixpath.join(shared_folder(spark), f"seen-{uuid.uuid4().hex}")
+    base = scratch(spark, "seen")
     rows = settled(automaton.counted(articles(spark, sf), WATCH, "kst_date").select("keyword", "kst_date", "n"))
     stream = _in_turns(spark, rows, F.least(F.floor(F.day("kst_date") / 10), F.lit(2)), f"{base}/landed")
     return state.run(stream, state.late_first_seen, f"{base}/seen", f"{base}/state")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,7 @@ def session(app: str = "headwater", cores: int | None = None, **conf: str) -> Sp
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     } | conf
     for key, value in settings.items():
         builder = builder.config(key, value)
@@ -38,6 +40,14 @@ def shared_folder(spark: SparkSession) -> str:
     return found
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one for what a query writes on its way; it goes when the session's process ends."""
+    folder = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` computed once and written to the shared folder, for plans that read it several times."""
     shared_folder(df.sparkSession)
