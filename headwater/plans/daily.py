@@ -354,12 +354,15 @@ def decision_reuse(spark, sf):
     return decisions.reuse(held, handled)
 
 
-@query(f"{JUDGED}, ps AS (SELECT kst_date, url, reason, row_number() OVER (PARTITION BY kst_date ORDER BY reason NOT LIKE 'interest:%', pos) AS p FROM jd) SELECT kst_date, count(*) FILTER (reason LIKE 'interest:%') AS n_kept, coalesce(string_agg(url, ' ' ORDER BY p) FILTER (reason LIKE 'interest:%'), '') AS kept, coalesce(string_agg(reason, ' ' ORDER BY p) FILTER (reason NOT LIKE 'interest:%'), '') AS dropped_for FROM ps GROUP BY 1")
+@query(
+    f"{TOLD}, ps AS (SELECT kst_date, url, reason, row_number() OVER (PARTITION BY kst_date ORDER BY reason NOT LIKE 'interest:%', pos) AS p FROM jd), tg AS (SELECT kst_date, string_agg(headline || '|' || kind || '|' || array_to_string(urls, '+'), ' / ' ORDER BY place) AS groups FROM tl GROUP BY 1) "
+    "SELECT kst_date, count(*) FILTER (reason LIKE 'interest:%') AS n_kept, coalesce(string_agg(url, ' ' ORDER BY p) FILTER (reason LIKE 'interest:%'), '') AS kept, coalesce(string_agg(reason, ' ' ORDER BY p) FILTER (reason NOT LIKE 'interest:%'), '') AS dropped_for, coalesce(any_value(groups), '') AS groups FROM ps LEFT JOIN tg USING (kst_date) GROUP BY 1"
+)
 def decisions_nested(spark, sf):
     rows = load.positioned(_judged(spark, sf)).select("kst_date", "url", "reason", "verdict", "position")
-    none = spark.createDataFrame([], "kst_date date, group_id int, headline string, urls array<string>, kind string")
-    out = decisions.nested(rows, none)
-    return out.select("kst_date", F.size("kept").cast("long").alias("n_kept"), F.array_join(F.transform("kept", lambda x: x["url"]), " ").alias("kept"), F.array_join(F.transform("dropped", lambda x: x["reason"]), " ").alias("dropped_for"))
+    out = decisions.nested(rows, _shaped(spark, sf).select("kst_date", (F.col("place") - 1).alias("group_id"), "headline", "urls", "kind"))
+    groups = F.array_join(F.transform("groups", lambda x: F.concat_ws("|", x["headline"], x["kind"], F.array_join(x["urls"], "+"))), " / ")
+    return out.select("kst_date", F.size("kept").cast("long").alias("n_kept"), F.array_join(F.transform("kept", lambda x: x["url"]), " ").alias("kept"), F.array_join(F.transform("dropped", lambda x: x["reason"]), " ").alias("dropped_for"), F.coalesce(groups, F.lit("")).alias("groups"))
 
 
 @query(f"{RANKED} SELECT kst_date, place - 1 AS group_id, kind, array_to_string(urls, ' ') AS urls FROM rk")
@@ -591,24 +594,38 @@ def seen_times(spark, sf):
     return rows.select("pos", timewin.normal_seen(F.col("seendate")).alias("seendate"), timewin.local_date_of_text(F.col("seendate")).alias("local_day"))
 
 
-@query(f"{ART} SELECT pos, CASE WHEN length(url) < 8 THEN '****' ELSE left(url, 2) || '****' END AS masked, CAST(greatest(1, ceil(length(title) / 50)) AS INT) AS n_chunks, md5(CAST(pos AS VARCHAR)) AS page_id FROM art")
+@query(f"{ART} SELECT pos, CASE WHEN length(url) < 8 THEN '****' ELSE left(url, 2) || '****' END AS masked, array_to_string(list_transform(range(0, greatest(1, CAST(ceil(length(title) / 50) AS BIGINT))), lambda i: substr(title, i * 50 + 1, 50)), '|') AS chunks, md5(CAST(pos AS VARCHAR)) AS page_id FROM art")
 def masks_and_chunks(spark, sf):
     a = articles(spark, sf)
     link = F.concat(F.lit("https://pages.example/A-Title-"), F.md5(F.col("pos").cast("string").cast("binary")), F.lit("?v=1"))
-    return a.select("pos", text.masked(F.col("url")).alias("masked"), F.size(text.text_chunks(F.col("title"), 50)).alias("n_chunks"), text.page_id(link).alias("page_id"))
+    return a.select("pos", text.masked(F.col("url")).alias("masked"), F.array_join(text.text_chunks(F.col("title"), 50), "|").alias("chunks"), text.page_id(link).alias("page_id"))
+
+
+# Titles that end in a letter or digit, in a Hangul syllable (one of three of them with ㄹ below), or in Chinese characters.
+_ENDED = "en AS (SELECT pos, CASE pos % 3 WHEN 0 THEN title || chr(CAST(44032 + pos * 36 % 11172 AS INT)) WHEN 1 THEN title || '日本' ELSE title END AS t, CASE pos % 3 WHEN 0 THEN pos * 36 % 11172 % 28 END AS jong, CASE pos % 3 WHEN 0 THEN 2 WHEN 1 THEN 4 ELSE 0 END AS more, length(title) AS n, lower(right(title, 1)) AS z FROM (SELECT pos, regexp_replace(title, '[^0-9A-Za-z]+$', '') AS title FROM art) WHERE regexp_matches(title, '^[ -~]*[0-9A-Za-z]$'))"
+_CLOSED = "CASE WHEN jong IS NOT NULL THEN jong > 0 WHEN more = 4 THEN false ELSE regexp_matches(z, '[lmnr013678]') END"
 
 
-@query(f"{ART} SELECT pos, CAST(length(title) AS INT) AS width, CASE WHEN regexp_matches(right(trim(title), 1), '[LMNRlmnr013678]') THEN '은' ELSE '는' END AS particle FROM art WHERE regexp_matches(title, '^[ -~]*[0-9A-Za-z]$')")
+@query(f"{ART}, {_ENDED} SELECT pos, CAST(n + more AS INT) AS width, CASE WHEN {_CLOSED} THEN '은' ELSE '는' END AS particle, CASE WHEN {_CLOSED} AND NOT (coalesce(jong = 8, false) OR (jong IS NULL AND more = 0 AND regexp_matches(z, '[lr178]'))) THEN '으로' ELSE '로' END AS way FROM en")
 def widths_and_particles(spark, sf):
-    a = articles(spark, sf).where(F.col("title").rlike("^[ -~]*[0-9A-Za-z]$"))
-    return a.select("pos", text.display_width(F.col("title")).cast("int").alias("width"), text.particle(F.col("title"), "은", "는").alias("particle"))
+    """Wide characters take two columns; particles follow the last syllable, letter or digit."""
+    a = articles(spark, sf).select("pos", F.regexp_replace("title", "[^0-9A-Za-z]+$", "").alias("title")).where(F.col("title").rlike("^[ -~]*[0-9A-Za-z]$"))
+    syllable = F.decode(F.unhex(F.hex(F.lit(44032) + F.col("pos") * 36 % 11172)), "UTF-16BE")
+    t = F.when(F.col("pos") % 3 == 0, F.concat("title", syllable)).when(F.col("pos") % 3 == 1, F.concat("title", F.lit("日本"))).otherwise(F.col("title"))
+    a = a.withColumn("t", t)
+    return a.select("pos", text.display_width(F.col("t")).cast("int").alias("width"), text.particle(F.col("t"), "은", "는").alias("particle"), text.particle(F.col("t"), "으로", "로").alias("way"))
 
 
-@query(f"{QA5}, w0 AS (SELECT place, CASE \"check\" WHEN 'count' THEN '수집 건수' WHEN 'windows' THEN '상한 구간' WHEN 'dates' THEN '날짜 범위' WHEN 'fields' THEN '필수 필드' ELSE '링크 중복' END AS a, status AS b FROM q5) SELECT CAST(place AS INT) AS place, a || CASE WHEN length(a) = 5 THEN '  ' ELSE '' END || b AS start FROM w0".replace("a || CASE WHEN length(a) = 5 THEN '  ' ELSE '' END || b", "a || '  ' || b"))
+_DECIMAL = "CASE WHEN printf('%.1f', value) LIKE '%.0' THEN left(printf('%.1f', value), length(printf('%.1f', value)) - 2) ELSE printf('%.1f', value) END"
+
+
+@query(
+    f"{QA5}, w0 AS (SELECT place, CASE \"check\" WHEN 'count' THEN '수집 건수' WHEN 'windows' THEN '상한 구간' WHEN 'dates' THEN '날짜 범위' WHEN 'fields' THEN '필수 필드' ELSE '링크 중복' END AS a, status AS b, concat_ws(' ', CAST(n AS VARCHAR), {_DECIMAL}, nullif(note, '')) AS c FROM q5) "
+    "SELECT CAST(place AS INT) AS place, rtrim(a || '  ' || rpad(b, 4, ' ') || '  ' || c) AS line FROM w0 UNION ALL SELECT -1, '점검       상태  내용' UNION ALL SELECT 0, '---------  ----  ' || repeat('-', greatest(4, max(length(c)))) FROM w0"
+)
 def check_table(spark, sf):
-    """The first cells of the table for people. All five names are nine columns wide."""
-    lines = quality.table_lines(_day_checks(spark, sf, False)).where("place > 0")
-    return lines.select("place", F.regexp_extract("line", "^(.*?  (ok|warn|fail))", 1).alias("start"))
+    """The whole table for people, its head and rule too. All five names are nine columns wide."""
+    return quality.table_lines(_day_checks(spark, sf, False)).select("place", "line")
 
 
 @query(SQL["keyword_range"])
