@@ -67,9 +67,12 @@ def identified(docs: DataFrame, name: str) -> tuple[DataFrame, DataFrame | None]
 
     Where each doc_id has one text, null as one of them, it is the doc_id (NO_ID for null) and the second result is None. Else rows
     are numbered in the order of doc_id and two 64-bit hashes of the text; the second result is the table (``name``, doc_id) of the numbers.
+    Whether an id recurs is told by the ids alone; texts are read and hashed for it only where one does.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     marks = {"_row_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_row_a": F.xxhash64(text), "_row_b": F.xxhash64(F.lit(1), text)}
+    if docs.select(marks["_row_doc"].alias("_row_doc")).groupBy("_row_doc").count().where("count > 1").isEmpty():
+        return docs.withColumn(name, marks["_row_doc"]), None
     hashes = docs.select(*[c.alias(k) for k, c in marks.items()])
     differ = (F.min("_row_a") != F.max("_row_a")) | (F.min("_row_b") != F.max("_row_b"))
     if hashes.groupBy("_row_doc").agg(differ.alias("differ")).where("differ").isEmpty():
