@@ -14,8 +14,9 @@ documents that only share passages are done. For the rest, a
 bucket of signatures links each document of a signature to the smallest; connected ones are candidate groups.
 Their sets, as 56-bit hashes of shingles, are compared in whole in the group: documents outside the largest
 component found so far are counted against the whole group through an inverted index, so a group
-of copies costs a pass for each straggler and no pair is written. Groups over
-``GROUP`` shingles are dealt out as pairs of blocks.
+of copies costs a pass for each straggler and no pair is written. A group over ``GROUP`` shingles is dealt out in
+blocks. Each block is compared within itself and with pivots, an eighth of a block's size, that all blocks of the group get; then only
+documents outside the group's largest component so far go to all of its blocks, in blocks of their own where there are many.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headwater.llm import common, packing, repeats
@@ -34,6 +35,8 @@ from headwater.llm.textarrays import U64, Words, chunks, mix, slices, window_has
 CHUNK = 2 << 20
 #: Shingles compared in one task.
 GROUP = 4_000_000
+#: Documents of a larger group that all of its blocks get at least.
+PIVOTS = 4
 #: Rows of one number that may be broadcast, counted before; beyond, the join shuffles.
 BROADCAST_ROWS = 2_000_000
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -199,9 +202,9 @@ def _star(group: pa.Table) -> pa.Table:
     return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def linked(ids: np.ndarray, counts: np.ndarray, sets: np.ndarray, percent: int) -> np.ndarray:
-    """For each document the place of the first one it is connected with, by links of this similarity."""
-    m = len(ids)
+def linked(counts: np.ndarray, sets: np.ndarray, percent: int, known: np.ndarray | None = None) -> np.ndarray:
+    """For each document the place of one it is connected with, the same for all connected ones, by links of this similarity and the ``known`` components."""
+    m = len(counts)
     # 32-bit places, as a group is bounded; what isn't needed any more goes at once
     order = np.argsort(sets).astype(np.int32)
     new = np.ones(len(sets), bool)
@@ -214,6 +217,9 @@ def linked(ids: np.ndarray, counts: np.ndarray, sets: np.ndarray, percent: int)
     del order, new
     first = np.concatenate(([0], np.cumsum(counts)))
     comp, todo = np.arange(m), np.ones(m, bool)
+    if known is not None:
+        _, lead, inverse = np.unique(known, return_index=True, return_inverse=True)
+        comp = lead[inverse]
     while True:
         waiting = np.bincount(comp[todo], minlength=m)
         some = np.flatnonzero(waiting)
@@ -231,16 +237,17 @@ def linked(ids: np.ndarray, counts: np.ndarray, sets: np.ndarray, percent: int)
 
 
 def _verify(group: pa.Table, percent: int) -> pa.Table:
+    """Links between documents of a task. Documents of one ``known`` label are connected already."""
     out_u, out_v = [], []
     task = group.column("task").to_numpy()
-    ids = group.column("doc_id").to_numpy()
+    ids, known = group.column("doc_id").to_numpy(), group.column("known").to_numpy()
     order = np.lexsort((ids, task))
     blobs = group.column("shingles")
     first, _, sizes = packing.by_doc(task[order])
     for f, s in zip(first.tolist(), sizes.tolist(), strict=True):
         own = order[f : f + s]
         sets = [packing.from_upper(blobs[int(i)].as_py()) for i in own]
-        comp = linked(ids[own], np.array([len(x) for x in sets]), np.concatenate(sets), percent)
+        comp = linked(np.array([len(x) for x in sets]), np.concatenate(sets), percent, known[own])
         far = comp != np.arange(len(own))
         out_u.append(ids[own][far])
         out_v.append(ids[own][comp[far]])
@@ -248,6 +255,46 @@ def _verify(group: pa.Table, percent: int) -> pa.Table:
     return pa.table([pa.array(join(out_u), pa.int64()), pa.array(join(out_v), pa.int64())], names=["u", "v"])
 
 
+def _compared(tasks: DataFrame, percent: int) -> DataFrame:
+    return tasks.select("bucket", "task", "doc_id", "known", "shingles").groupBy("bucket").applyInArrow(lambda group: _verify(group, percent), "u long, v long")
+
+
+def _spread(parts: str) -> Column:
+    """All blocks of a group."""
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.col(parts).cast("long") - 1))
+
+
+def _blocks(sets: DataFrame, buckets: int, percent: int) -> DataFrame:
+    """Links inside groups of one task, and inside the blocks of larger ones, each joined by the group's pivots.
+
+    ``sets``: doc_id, label, parts (blocks of the group), named (some of its documents), block and shingles.
+    """
+    # an eighth of a block, drawn by a hash, and those named: a group's large component holds some of them
+    pivot = (F.pmod(F.xxhash64("doc_id", F.lit(8)), 8 * F.col("parts")) == 0) | F.array_contains("named", F.col("doc_id"))
+    more = sets.where((F.col("parts") > 1) & pivot).withColumn("to", _spread("parts")).where("to <> block").drop("block").withColumnRenamed("to", "block")
+    tasks = sets.unionByName(more).withColumn("task", F.xxhash64("label", "block")).withColumn("known", F.col("doc_id"))
+    return _compared(tasks.withColumn("bucket", F.when(F.col("parts") > 1, F.col("task")).otherwise(F.pmod("task", F.lit(buckets)))), percent)
+
+
+def _stragglers(sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """Links of the documents outside the largest component of their group, with all of the group. ``sets`` as in ``_blocks``, of groups with several blocks."""
+    found = common.components(links).withColumnRenamed("node", "doc_id").withColumnRenamed("label", "known")
+    marked = sets.select("doc_id", "label", "parts", "block", F.octet_length("shingles").alias("width")).join(found, "doc_id", "left").withColumn("known", F.coalesce("known", "doc_id"))
+    sizes = marked.groupBy("label", "known").agg(F.sum("width").alias("width"))
+    most = sizes.groupBy("label").agg(F.max_by("known", F.struct("width", "known")).alias("most"), F.sum("width").alias("all"), F.max("width").alias("largest"))
+    # as many blocks as the rest of the group fills, in the measure of the group's own
+    most = most.select("label", "most", (F.col("all") - F.col("largest")).alias("rest"), "all")
+    marked = marked.join(most, "label").withColumn("rest_parts", F.greatest(F.lit(1), F.ceil(F.col("rest") * F.col("parts") / F.col("all"))).cast("int"))
+    marked = marked.where("rest > 0").select("doc_id", "parts", "known", "rest_parts", (F.col("known") != F.col("most")).alias("outside")).checkpoint()
+    whole = sets.join(marked.drop("parts"), "doc_id")
+    own = whole.withColumn("rest_block", _spread("rest_parts"))
+    sent = whole.where("outside").withColumn("rest_block", F.pmod(F.xxhash64("doc_id", F.lit(9)), "rest_parts")).withColumn("to", _spread("parts"))
+    # a document may reach a task both ways; its copies are connected from the start
+    both = own.unionByName(sent.drop("block").withColumnRenamed("to", "block"))
+    tasks = both.withColumn("task", F.xxhash64("label", "block", "rest_block", F.lit(1)))
+    return _compared(tasks.withColumn("bucket", F.col("task")), percent)
+
+
 def _set_rows(batches: Iterable[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     for ids, data, offsets in chunks(batches, CHUNK):
         sets, counts = shingles(data, offsets, n)
@@ -289,14 +336,14 @@ def linked_rows(own: DataFrame, b: int, percent: int = 80, n: int = 5) -> DataFr
     again = sets.mapInArrow(lambda batches: repeats.rows(_send_active(batches, many)), repeats.BLOBS)
     candidates = common.components(again.groupBy("bucket").applyInArrow(_star, "u long, v long"))
     members = candidates.withColumnRenamed("node", "doc_id").join(classes.select("doc_id", "n_shingles").distinct(), "doc_id")
-    totals = members.groupBy("label").agg(F.ceil(F.sum("n_shingles") / GROUP).cast("int").alias("parts"))
-    members = members.join(totals, "label").select("doc_id", "label", "parts")
-    sets = sets.join(members, "doc_id")
-    block = F.pmod(F.xxhash64("doc_id"), "parts")
-    tasks = sets.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)))
-    tasks = tasks.withColumn("task", F.xxhash64("label", F.least("block", "other"), F.greatest("block", "other")))
-    tasks = tasks.withColumn("bucket", F.when(F.col("parts") > 1, F.col("task")).otherwise(F.pmod(F.col("task"), F.lit(many))))
-    links = tasks.select("bucket", "task", "doc_id", "shingles").groupBy("bucket").applyInArrow(lambda group: _verify(group, percent), "u long, v long")
+    named = F.array(*[F.min(F.struct(F.xxhash64("doc_id", F.lit(i)), "doc_id"))["doc_id"] for i in range(PIVOTS)])
+    totals = members.groupBy("label").agg(F.ceil(F.sum("n_shingles") / GROUP).cast("int").alias("parts"), named.alias("named"))
+    members = members.join(totals, "label").select("doc_id", "label", "parts", F.when(F.col("parts") > 1, F.col("named")).alias("named"))
+    sets = sets.join(members, "doc_id").withColumn("block", F.pmod(F.xxhash64("doc_id"), "parts"))
+    links = _blocks(sets, many, percent).checkpoint()
+    large = sets.where("parts > 1")
+    if not members.where("parts > 1").isEmpty():
+        links = links.union(_stragglers(large, links.join(large.select(F.col("doc_id").alias("u")), "u", "left_semi"), percent))
     groups = common.components(links).withColumnRenamed("node", "first_id")
     kept = firsts.select("class", F.col("doc_id").alias("first_id"))
     grouped = kept.join(groups, "first_id", "left").select("class", F.coalesce("label", "first_id").alias("component_id"))

@@ -25,7 +25,7 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("group", [jaccard_join.GROUP, 300], ids=["whole", "blocks"])
+@pytest.mark.parametrize("group", [jaccard_join.GROUP, 4000, 300], ids=["whole", "blocks", "documents"])
 def test_against_brute_force(spark, monkeypatch, group):
     monkeypatch.setattr(jaccard_join, "GROUP", group)
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard_join(spark.createDataFrame(rows(), "doc_id long, text string")).collect()}
@@ -58,3 +58,27 @@ def test_bands_cover_neighbours():
     for a in range(1, 4000):
         b = a * 5 // 4
         assert np.searchsorted(upper, b) - np.searchsorted(upper, a) in (0, 1)
+
+
+def test_blocks_get_pivots_and_then_stragglers_only(spark, monkeypatch):
+    """Copies, and a chain of changed ones of which only the first is near them."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(3000)}" for _ in range(200)]
+    rows = [(i, " ".join([*base[:-1], f"copy{i}"])) for i in range(60)]
+    # each step changes words enough for one link along the chain, and too many for two
+    chain = list(base)
+    for i in range(100, 112):
+        at = rng.randrange(20) + 20 * (i % 9)
+        chain[at : at + 8] = [f"step{i}x{k}" for k in range(8)]
+        rows.append((i, " ".join(chain)))
+    monkeypatch.setattr(jaccard_join, "GROUP", 2500)
+    sent = []
+    before = jaccard_join._compared
+    monkeypatch.setattr(jaccard_join, "_compared", lambda tasks, percent: sent.append(tasks.checkpoint()) or before(sent[-1], percent))
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == brute.jaccard(rows) and found[111][1] == 0
+    blocks, rest = sent
+    parts = blocks.selectExpr("max(parts)").first()[0]
+    assert parts > 3
+    # linear in the number of blocks: a block, its pivots, and the few documents outside the largest component
+    assert blocks.count() < 2 * len(rows) and rest.count() <= 2 * len(rows) + 20 * parts
