@@ -166,8 +166,22 @@ def _matched(group: pa.Table, n: int) -> pa.Table:
     classes, inverse = np.unique(ids, return_inverse=True)
     least = np.zeros(len(classes), np.uint32)
     least[inverse] = need
-    at, _, size = _groups(h, np.repeat(inverse, sizes))
-    shared = np.bincount(at[np.repeat(size > 1, size)], minlength=len(classes))
+    # a bucket may hold tens of millions of entries, most of them alone: no array of groups is made
+    key = h.astype(U64)
+    del h
+    key <<= U64(32)
+    key |= np.repeat(inverse.astype(np.uint32), sizes)
+    key.sort()
+    same = np.zeros(len(key) + 1, bool)
+    np.equal(key[1:], key[:-1], out=same[1:-1])
+    if same.any():
+        key = key[~same[:-1]]
+    top = (key >> U64(32)).astype(np.uint32)
+    same = np.zeros(len(key) + 1, bool)
+    np.equal(top[1:], top[:-1], out=same[1:-1])
+    del top
+    shared = np.bincount((key[same[1:] | same[:-1]] & U64(0xFFFFFFFF)).astype(np.int64), minlength=len(classes))
+    del key
     some = shared > 0
     classes, least, shared = classes[some], least[some], shared[some].astype(np.uint32)
     return repeats.as_table((b, packing.pack(classes[k], least[k], shared[k], raw=(0,))) for b, k in packing.split(common.doc_buckets(classes, n), n))
@@ -208,7 +222,9 @@ def linked(counts: np.ndarray, sets: np.ndarray, percent: int, known: np.ndarray
     # 32-bit places, as a group is bounded; what isn't needed any more goes at once
     order = np.argsort(sets).astype(np.int32)
     new = np.ones(len(sets), bool)
-    new[1:] = sets[order[1:]] != sets[order[:-1]]
+    in_order = sets[order]
+    np.not_equal(in_order[1:], in_order[:-1], out=new[1:])
+    del in_order
     start = np.flatnonzero(new)
     df = np.diff(np.append(start, len(sets)))
     sid = np.empty(len(sets), np.int32)
@@ -246,8 +262,8 @@ def _verify(group: pa.Table, percent: int) -> pa.Table:
     first, _, sizes = packing.by_doc(task[order])
     for f, s in zip(first.tolist(), sizes.tolist(), strict=True):
         own = order[f : f + s]
-        sets = [packing.from_upper(blobs[int(i)].as_py()) for i in own]
-        comp = linked(np.array([len(x) for x in sets]), np.concatenate(sets), percent, known[own])
+        counts, sets = packing.from_uppers([blobs[int(i)].as_buffer() for i in own])
+        comp = linked(counts, sets, percent, known[own])
         far = comp != np.arange(len(own))
         out_u.append(ids[own][far])
         out_v.append(ids[own][comp[far]])
