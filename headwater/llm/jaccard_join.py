@@ -33,8 +33,10 @@ from headwater.llm import common, packing, repeats
 from headwater.llm.textarrays import U64, Words, chunks, mix, slices, window_hash
 
 CHUNK = 2 << 20
-#: Shingles compared in one task.
+#: Shingles compared in one task: those of a whole group, or of two blocks of a larger one.
 GROUP = 4_000_000
+#: Places of documents that are counted at a time.
+COUNTED = 1 << 18
 #: Documents of a larger group that all of its blocks get at least.
 PIVOTS = 4
 #: Rows of one number that may be broadcast, counted before; beyond, the join shuffles.
@@ -216,8 +218,8 @@ def _star(group: pa.Table) -> pa.Table:
     return pa.table([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
-def linked(counts: np.ndarray, sets: np.ndarray, percent: int, known: np.ndarray | None = None) -> np.ndarray:
-    """For each document the place of one it is connected with, the same for all connected ones, by links of this similarity and the ``known`` components."""
+def linked(counts: np.ndarray, sets: np.ndarray, percent: int, known: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """For each document the place of one it is connected with, the same for all connected ones, by the ``known`` components and links of this similarity that an ``asked`` document has."""
     m = len(counts)
     # 32-bit places, as a group is bounded; what isn't needed any more goes at once
     order = np.argsort(sets).astype(np.int32)
@@ -232,20 +234,25 @@ def linked(counts: np.ndarray, sets: np.ndarray, percent: int, known: np.ndarray
     listed = np.repeat(np.arange(m, dtype=np.int32), counts)[order]
     del order, new
     first = np.concatenate(([0], np.cumsum(counts)))
-    comp, todo = np.arange(m), np.ones(m, bool)
-    if known is not None:
-        _, lead, inverse = np.unique(known, return_index=True, return_inverse=True)
-        comp = lead[inverse]
+    _, lead, inverse = np.unique(known, return_index=True, return_inverse=True)
+    comp, todo = lead[inverse], asked.copy()
+    # where all are asked, the last component that waits has met all others
+    last = 1 if asked.all() else 0
     while True:
         waiting = np.bincount(comp[todo], minlength=m)
         some = np.flatnonzero(waiting)
-        if len(some) <= 1:
+        if len(some) <= last or (comp == comp[0]).all():
             return comp
         p = int(np.flatnonzero(todo & (comp == some[np.argmin(waiting[some])]))[0])
         todo[p] = False
         mine = sid[first[p] : first[p + 1]]
         mine = mine[df[mine] > 1]
-        both = np.bincount(listed[slices(start[mine], df[mine])], minlength=m)
+        both = np.zeros(m, np.int64)
+        # some of the index at a time: together, a document's shingles may name the whole group
+        ends = np.cumsum(df[mine])
+        for i in range(0, int(ends[-1]) if len(ends) else 0, COUNTED):
+            part = mine[np.searchsorted(ends, i, "right") : np.searchsorted(ends, i + COUNTED, "right")]
+            both += np.bincount(listed[slices(start[part], df[part])], minlength=m)
         near = (100 + percent) * both >= percent * (counts + counts[p])
         near[p] = True
         joined = np.unique(comp[near])
@@ -256,14 +263,14 @@ def _verify(group: pa.Table, percent: int) -> pa.Table:
     """Links between documents of a task. Documents of one ``known`` label are connected already."""
     out_u, out_v = [], []
     task = group.column("task").to_numpy()
-    ids, known = group.column("doc_id").to_numpy(), group.column("known").to_numpy()
+    ids, known, asked = (group.column(c).to_numpy() for c in ("doc_id", "known", "asked"))
     order = np.lexsort((ids, task))
     blobs = group.column("shingles")
     first, _, sizes = packing.by_doc(task[order])
     for f, s in zip(first.tolist(), sizes.tolist(), strict=True):
         own = order[f : f + s]
         counts, sets = packing.from_uppers([blobs[int(i)].as_buffer() for i in own])
-        comp = linked(counts, sets, percent, known[own])
+        comp = linked(counts, sets, percent, known[own], asked[own])
         far = comp != np.arange(len(own))
         out_u.append(ids[own][far])
         out_v.append(ids[own][comp[far]])
@@ -272,7 +279,7 @@ def _verify(group: pa.Table, percent: int) -> pa.Table:
 
 
 def _compared(tasks: DataFrame, percent: int) -> DataFrame:
-    return tasks.select("bucket", "task", "doc_id", "known", "shingles").groupBy("bucket").applyInArrow(lambda group: _verify(group, percent), "u long, v long")
+    return tasks.select("bucket", "task", "doc_id", "known", "asked", "shingles").groupBy("bucket").applyInArrow(lambda group: _verify(group, percent), "u long, v long")
 
 
 def _spread(parts: str) -> Column:
@@ -288,7 +295,7 @@ def _blocks(sets: DataFrame, buckets: int, percent: int) -> DataFrame:
     # an eighth of a block, drawn by a hash, and those named: a group's large component holds some of them
     pivot = (F.pmod(F.xxhash64("doc_id", F.lit(8)), 8 * F.col("parts")) == 0) | F.array_contains("named", F.col("doc_id"))
     more = sets.where((F.col("parts") > 1) & pivot).withColumn("to", _spread("parts")).where("to <> block").drop("block").withColumnRenamed("to", "block")
-    tasks = sets.unionByName(more).withColumn("task", F.xxhash64("label", "block")).withColumn("known", F.col("doc_id"))
+    tasks = sets.unionByName(more).withColumn("task", F.xxhash64("label", "block")).withColumn("known", F.col("doc_id")).withColumn("asked", F.lit(True))
     return _compared(tasks.withColumn("bucket", F.when(F.col("parts") > 1, F.col("task")).otherwise(F.pmod("task", F.lit(buckets)))), percent)
 
 
@@ -303,9 +310,9 @@ def _stragglers(sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     marked = marked.join(most, "label").withColumn("rest_parts", F.greatest(F.lit(1), F.ceil(F.col("rest") * F.col("parts") / F.col("all"))).cast("int"))
     marked = marked.where("rest > 0").select("doc_id", "parts", "known", "rest_parts", (F.col("known") != F.col("most")).alias("outside")).checkpoint()
     whole = sets.join(marked.drop("parts"), "doc_id")
-    own = whole.withColumn("rest_block", _spread("rest_parts"))
-    sent = whole.where("outside").withColumn("rest_block", F.pmod(F.xxhash64("doc_id", F.lit(9)), "rest_parts")).withColumn("to", _spread("parts"))
-    # a document may reach a task both ways; its copies are connected from the start
+    mine = F.when(F.col("outside"), F.pmod(F.xxhash64("doc_id", F.lit(9)), "rest_parts"))
+    own = whole.withColumn("rest_block", _spread("rest_parts")).withColumn("asked", F.coalesce(mine == F.col("rest_block"), F.lit(False)))
+    sent = whole.where("outside").withColumn("rest_block", mine).withColumn("asked", F.lit(True)).withColumn("to", _spread("parts")).where("to <> block")
     both = own.unionByName(sent.drop("block").withColumnRenamed("to", "block"))
     tasks = both.withColumn("task", F.xxhash64("label", "block", "rest_block", F.lit(1)))
     return _compared(tasks.withColumn("bucket", F.col("task")), percent)
@@ -353,7 +360,7 @@ def linked_rows(own: DataFrame, b: int, percent: int = 80, n: int = 5) -> DataFr
     candidates = common.components(again.groupBy("bucket").applyInArrow(_star, "u long, v long"))
     members = candidates.withColumnRenamed("node", "doc_id").join(classes.select("doc_id", "n_shingles").distinct(), "doc_id")
     named = F.array(*[F.min(F.struct(F.xxhash64("doc_id", F.lit(i)), "doc_id"))["doc_id"] for i in range(PIVOTS)])
-    totals = members.groupBy("label").agg(F.ceil(F.sum("n_shingles") / GROUP).cast("int").alias("parts"), named.alias("named"))
+    totals = members.groupBy("label").agg(F.when(F.sum("n_shingles") <= GROUP, 1).otherwise(F.ceil(2 * F.sum("n_shingles") / GROUP)).cast("int").alias("parts"), named.alias("named"))
     members = members.join(totals, "label").select("doc_id", "label", "parts", F.when(F.col("parts") > 1, F.col("named")).alias("named"))
     sets = sets.join(members, "doc_id").withColumn("block", F.pmod(F.xxhash64("doc_id"), "parts"))
     links = _blocks(sets, many, percent).checkpoint()
