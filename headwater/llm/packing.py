@@ -51,12 +51,6 @@ def from_upper(blob: bytes, size: int = 7) -> np.ndarray:
     return wide.reshape(-1).view("<u8")
 
 
-def from_uppers(blobs: list) -> tuple[np.ndarray, np.ndarray]:
-    """How many hashes each blob holds, and all of them, without a copy of each first."""
-    counts = np.array([len(b) // 7 for b in blobs], np.int64)
-    return counts, from_upper(b"".join(blobs))
-
-
 def concat(blobs: list[bytes]) -> list[np.ndarray]:
     """The arrays of many blobs of one layout, each kind joined."""
     parts = [unpack(b) for b in blobs]
