@@ -12,10 +12,10 @@ from headwater.session import settled
 THRESHOLD = 0.4
 
 
-def classify(articles: DataFrame, interest: list[str], exclude: list[str]) -> DataFrame:
-    """verdict and reason of each article. An earlier row with its link makes one a repeat, if that has a title."""
+def classify(articles: DataFrame, interest: list[str], exclude: list[str], order: str = "pos") -> DataFrame:
+    """verdict and reason of each article. A row with its link that is earlier by ``order`` makes one a repeat, if that has a title."""
     usable = (F.coalesce(F.trim("url"), F.lit("")) != "") & (text.strip(F.col("title")) != "")
-    nth = F.row_number().over(Window.partitionBy("kst_date", "url", usable).orderBy("pos"))
+    nth = F.row_number().over(Window.partitionBy("kst_date", "url", usable).orderBy(order))
     bad, good = keywords.first_of(F.col("title"), exclude), keywords.first_of(F.col("title"), interest)
     reason = F.when(F.coalesce(F.trim("url"), F.lit("")) == "", "no_url").when(text.strip(F.col("title")) == "", "no_title").when(F.col("nth") > 1, "repeated_url").when(F.col("bad").isNotNull(), F.concat(F.lit("exclude:"), "bad")).when(F.col("good").isNull(), "no_interest").otherwise(F.concat(F.lit("interest:"), "good"))
     out = articles.withColumn("nth", nth).withColumn("bad", bad).withColumn("good", good).withColumn("reason", reason)

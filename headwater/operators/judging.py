@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import date
 
@@ -19,7 +20,7 @@ SCHEMAS = {
     "groups": "group_id int, headline string, kind string",
     "group_urls": "group_id int, position int, url string",
 }
-#: Reasons that need no judgement; a model isn't asked about such rows.
+#: Reasons that need no judgement; a model isn't asked about such rows unless the caller says so.
 SORTED_OUT = ("no_url", "no_title", "repeated_url")
 
 
@@ -50,16 +51,17 @@ def backends(days: DataFrame, candidates: DataFrame, spoken: DataFrame, wanted:
     return told.select(DAY, F.when(model, "llm").otherwise("rules").alias("backend"), F.lit(asked).alias("requested_backend"), why.cast("string").alias("fallback_reason"))
 
 
-def judged(articles: DataFrame, words: Words, wanted: str = "rules", answers: DataFrame | None = None, days: DataFrame | None = None) -> dict[str, DataFrame]:
+def judged(articles: DataFrame, words: Words, wanted: str = "rules", answers: DataFrame | None = None, days: DataFrame | None = None, arrival: str = "pos", unasked: Sequence[str] = SORTED_OUT) -> dict[str, DataFrame]:
     """The four tables of the days of ``articles`` (day, pos in order, url, title, domain, seen_ts), and of ``days`` without any.
 
     ``answers``: day and body of a model's answer for the day's candidates, numbered from 1 in the articles' order. With ``wanted`` llm these
-    decide the days they are usable for; all other days go to the rules, and ``runs`` tells which did and why.
+    decide the days they are usable for; all other days go to the rules, and ``runs`` tells which did and why. Of rows with one link the first by
+    ``arrival`` counts, whatever the order of the day. Rows put aside for a reason in ``unasked`` are no candidates and have no number.
     """
     spark = articles.sparkSession
-    ruled = settled(grouping.classify(articles, words.interest, words.exclude))
+    ruled = settled(grouping.classify(articles, words.interest, words.exclude, arrival))
     order = Window.partitionBy(DAY).orderBy("pos")
-    candidates = settled(ruled.where(~F.col("reason").isin(*SORTED_OUT)).withColumn("n", F.row_number().over(order)))
+    candidates = settled(ruled.where(~F.col("reason").isin(*unasked)).withColumn("n", F.row_number().over(order)))
     answers = spark.createDataFrame([], f"{DAY} date, body string") if answers is None or wanted.strip().lower() != "llm" else answers
     model = settled(decisions.model_verdicts(answers, candidates.select(DAY, "n", "pos", "url", "title", "domain"), DAY))
     every = articles.select(DAY).distinct() if days is None else articles.select(DAY).union(days.select(DAY)).distinct()
@@ -97,8 +99,8 @@ def states(store: DayTables, handled: DataFrame, days: DataFrame, wanted: str =
     return rows.select(DAY, "n_stored", "n_handled", reason.alias("reason")).withColumn("reused", F.col("reason") == "")
 
 
-def judge_days(store: DayTables, articles: DataFrame, days: list[date], words: Words, wanted: str = "rules", answers: DataFrame | None = None, force: bool = False) -> DataFrame:
-    """Judges those of ``days`` that need it, puts their four tables in place in one step, and returns the states that were found."""
+def judge_days(store: DayTables, articles: DataFrame, days: list[date], words: Words, wanted: str = "rules", answers: DataFrame | None = None, force: bool = False, arrival: str = "pos", unasked: Sequence[str] = SORTED_OUT) -> DataFrame:
+    """Judges those of ``days`` that need it (see ``judged``), puts their four tables in place in one step, and returns the states that were found."""
     spark = articles.sparkSession
     asked = spark.createDataFrame([(d,) for d in days], f"{DAY} date")
     rows = articles.join(F.broadcast(asked), DAY, "left_semi")
@@ -106,7 +108,7 @@ def judge_days(store: DayTables, articles: DataFrame, days: list[date], words: W
     again = [r[DAY] for r in found.where("not reused").select(DAY).collect()]
     if again:
         open_days = found.where("not reused").select(DAY)
-        store.replace(again, judged(rows.join(open_days, DAY, "left_semi"), words, wanted, answers, open_days))
+        store.replace(again, judged(rows.join(open_days, DAY, "left_semi"), words, wanted, answers, open_days, arrival, unasked))
     return found
 
 
